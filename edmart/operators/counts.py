@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edmart.functions.text import row_digest
+from edmart.operators.joins import lookup_join
 
 
 def count_per(df: DataFrame, key: str, name: str) -> DataFrame:
@@ -60,7 +61,7 @@ def distinct_course_counts(courses: DataFrame, sources: DataFrame) -> DataFrame:
         row_digest("course_title", "course_description").alias("digest"),
     )
     return (
-        digests.join(sources.select("source_id", "cleaned_name"), "source_id")
+        lookup_join(digests, sources.select("source_id", "cleaned_name"), "source_id")
         .select("cleaned_name", "digest")
         .distinct()
         .groupBy("cleaned_name")

@@ -14,16 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from edmart.operators.joins import lookup_join
 
-def _substring_keys(text: Column, lengths: Column) -> Column:
-    """Distinct hashes of the substrings of ``text`` that have one of ``lengths``."""
-    size = F.length(text)
 
-    def of_length(n: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), size - n + 1), lambda i: F.xxhash64(F.substring(text, i, n)))
-
-    fitting = F.filter(lengths, lambda n: n <= size)
-    return F.array_distinct(F.flatten(F.transform(fitting, of_length)))
+def _substring_hashes(text: Column, length: Column) -> Column:
+    """Distinct hashes of the substrings of ``text`` with the given length."""
+    starts = F.sequence(F.lit(1), F.length(text) - length + 1)
+    return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substring(text, i, length))))
 
 
 def contains_pairs(longs: DataFrame, long: str, shorts: DataFrame, short: str) -> DataFrame:
@@ -32,15 +29,22 @@ def contains_pairs(longs: DataFrame, long: str, shorts: DataFrame, short: str) -
     Both sides should be distinct on their text. The set of lengths is one small
     value (no longer than the longest short name), read as a scalar subquery.
     """
-    lengths = shorts.agg(F.collect_set(F.length(short))).scalar()
-    keyed_longs = longs.filter(F.col(long).isNotNull()).withColumn(
-        "match_key", F.explode(_substring_keys(F.col(long), lengths))
+    lengths = shorts.agg(F.sort_array(F.collect_set(F.length(short)))).scalar()
+    keyed_longs = (
+        longs.filter(F.col(long).isNotNull())
+        .withColumn("match_lengths", lengths)
+        .withColumn("match_length", F.explode("match_lengths"))
+        .filter(F.col("match_length") <= F.length(long))
+        .withColumn("match_key", F.explode(_substring_hashes(F.col(long), F.col("match_length"))))
+        .drop("match_lengths")
+    )
+    keyed_shorts = shorts.filter(F.col(short).isNotNull()).select(
+        "*", F.length(short).alias("match_length"), F.xxhash64(short).alias("match_key")
     )
-    keyed_shorts = shorts.filter(F.col(short).isNotNull()).withColumn("match_key", F.xxhash64(short))
     return (
-        keyed_longs.join(keyed_shorts, "match_key")
+        keyed_longs.join(keyed_shorts, ["match_length", "match_key"])
         .filter(F.contains(F.col(long), F.col(short)))
-        .drop("match_key")
+        .drop("match_length", "match_key")
     )
 
 
@@ -99,7 +103,7 @@ def _host_matches(sources: DataFrame, universities: DataFrame) -> DataFrame:
     by_host = universities.groupBy("uni_host").agg(F.min("unitid").alias("host_unitid"))
     return (
         hosts.withColumn("uni_host", F.explode(suffixes))
-        .join(by_host, "uni_host")
+        .transform(lookup_join, by_host, "uni_host")
         .groupBy("src_host")
         .agg(F.min("host_unitid").alias("host_unitid"))
     )
@@ -126,8 +130,8 @@ def match_sources(sources: DataFrame, universities: DataFrame) -> DataFrame:
     matched = (
         sources.select("source_id", "source_name", "cleaned_name", "src_host")
         .withColumn("name_key", F.lower("cleaned_name"))
-        .join(_host_matches(sources, universities), "src_host", "left")
-        .join(_name_matches(sources, universities), "name_key", "left")
+        .transform(lookup_join, _host_matches(sources, universities), "src_host", "left")
+        .transform(lookup_join, _name_matches(sources, universities), "name_key", "left")
     )
     by_host = F.col("host_unitid").isNotNull()
     unitid = F.coalesce("host_unitid", "name_unitid")
@@ -146,7 +150,7 @@ def match_sources(sources: DataFrame, universities: DataFrame) -> DataFrame:
     best = matched.groupBy("source_name").agg(F.min(choice).alias("best")).select("source_name", "best.*")
     extra = [c for c in ("universities_table_id",) if c in universities.columns]
     institutions = universities.select("unitid", "instnm", "uni_host", *extra)
-    return best.join(institutions, "unitid", "left").select(
+    return lookup_join(best, institutions, "unitid", "left").select(
         "cleaned_name",
         "source_name",
         "source_id",

@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from edmart import schemas
 from edmart.operators.audit import audit_columns, created_values, is_audited
+from edmart.operators.joins import lookup_join
 
 
 def one_row_per_key(df: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
     """``df`` unchanged if its keys are unique; the job fails otherwise.
 
-    The check is part of the plan: copies of a key collapse map-side into a
-    counter, and the result is already partitioned for a join on the keys.
+    The check is part of the plan: copies of a key collapse map-side into a counter.
     """
     rest = [c for c in df.columns if c not in keys]
     message = F.concat(
@@ -78,7 +78,7 @@ def merge_table(
         *[F.col(c).alias(f"_new_{c}") for c in dict.fromkeys([*update, *keep_old])],
     )
 
-    joined = target.select("*", *key_columns()).join(changes, merge_keys, "left")
+    joined = lookup_join(target.select("*", *key_columns()), changes, merge_keys, "left")
     hit = F.col("_hit").isNotNull()
     stamps = _update_stamps(target, audit, user, now)
     out = []
@@ -94,7 +94,8 @@ def merge_table(
         out.append(value.cast(target.schema[c].dataType).alias(c))
     updated = joined.select(*out)
 
-    known = target.select(*key_columns()).join(batch.select(*merge_keys), merge_keys, "left_semi").distinct()
+    wanted = batch.select(*merge_keys)
+    known = lookup_join(target.select(*key_columns()), wanted, merge_keys, "left_semi").distinct()
     fresh = batch.join(known, merge_keys, "left_anti").drop(*merge_keys)
     if len(null_safe) < len(keys):
         fresh = fresh.unionByName(source.filter(any_null))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from edmart import schemas
 from edmart.functions import cip
+from edmart.operators.joins import lookup_join
 
 
 def repair_cip(df: DataFrame, column: str = "cipcode") -> DataFrame:
@@ -40,8 +41,9 @@ def drop_orphans(facts: DataFrame, programs: DataFrame, column: str = "cipcode")
     Facts without a code never enter the join: as NULL keys they would all be
     shuffled to one task.
     """
-    codes = programs.select(F.col(column).alias("_code")).filter("_code IS NOT NULL").distinct()
-    kept = facts.filter(F.col(column).isNotNull()).join(codes, F.col(column) == F.col("_code"), "left_semi")
+    codes = programs.select(column).filter(F.col(column).isNotNull())
+    kept = lookup_join(facts.filter(F.col(column).isNotNull()), codes, column, "left_semi")
+    kept = kept.select(*facts.columns)
     return kept.unionByName(facts.filter(F.col(column).isNull()))
 
 
@@ -83,12 +85,12 @@ def delete_cascade(tables: Mapping[str, DataFrame], root: str, ids: DataFrame) -
     """
     root_key = schemas.TABLES[root].primary_key[0]
     out = dict(tables)
-    gone = ids.select(root_key).distinct()
-    out[root] = tables[root].join(gone, root_key, "left_anti")
+    gone = ids.select(root_key)
+    out[root] = tables[root].join(gone, root_key, "left_anti").select(*tables[root].columns)
     for child, key, parent_key, cascades in _children(root):
         if cascades and child in tables:
             keys = gone.select(F.col(parent_key).alias(key))
-            out[child] = tables[child].join(keys, key, "left_anti").select(*tables[child].columns)
+            out[child] = lookup_join(tables[child], keys, key, "left_anti").select(*tables[child].columns)
     return out
 
 

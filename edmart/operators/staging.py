@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edmart.operators.audit import audit_columns
+from edmart.operators.joins import lookup_join
 
 
 def enabled_sources(sources: DataFrame) -> DataFrame:
@@ -35,7 +36,7 @@ def _of_sources(child: DataFrame, key: str, sources: DataFrame, source_id: str |
     if source_id is not None:
         child = child.filter(F.col(key) == source_id)
         ids = ids.filter(F.col(key) == source_id)
-    return child.join(ids, key, "left_semi")
+    return lookup_join(child, ids, key, "left_semi")
 
 
 def scraper_schema(schemas: DataFrame, sources: DataFrame, source_id: str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edmart.functions import cip
+from edmart.operators.joins import lookup_join
 
 # Award levels that are loaded.
 AWARD_LEVELS = (2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 17, 18, 19, 20, 21)
@@ -16,13 +17,13 @@ COMPLETION_KEYS = ["report_year", "unitid", "cipcode", "award_level"]
 
 
 def _known_units(rows: DataFrame, universities: DataFrame) -> DataFrame:
-    return rows.join(universities.select("unitid"), "unitid", "left_semi")
+    return lookup_join(rows, universities.select("unitid"), "unitid", "left_semi")
 
 
 def _known_codes(rows: DataFrame, programs: DataFrame) -> DataFrame:
     """Rows whose exact code is a program. Codes widen to the exact type on both sides."""
     codes = programs.select(F.col("cipcode").cast(cip.CIP_EXACT_TYPE).alias("cipcode"))
-    return rows.join(codes, "cipcode", "left_semi")
+    return lookup_join(rows, codes, "cipcode", "left_semi")
 
 
 def _measurable(rows: DataFrame) -> DataFrame:

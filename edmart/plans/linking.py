@@ -7,6 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from edmart.operators.joins import lookup_join
 from edmart.operators.match import match_sources
 
 
@@ -36,7 +37,7 @@ def register_distinct(sources: DataFrame) -> DataFrame:
 def source_links(sources: DataFrame, distinct_sources: DataFrame) -> DataFrame:
     """source_id -> distinct id, for sources whose name is registered."""
     ids = distinct_sources.select("distinct_id", F.col("distinct_name").alias("cleaned_name"))
-    return sources.select("source_id", "cleaned_name").join(ids, "cleaned_name").select(
+    return lookup_join(sources.select("source_id", "cleaned_name"), ids, "cleaned_name").select(
         "source_id", F.col("distinct_id").alias("source_distinct_id")
     )
 
@@ -49,7 +50,7 @@ def link_sources(sources: DataFrame, distinct_sources: DataFrame, only: DataFram
     links = distinct_sources.select(
         F.col("distinct_name").alias("cleaned_name"), F.col("distinct_id").alias("_new_id")
     )
-    joined = sources.join(links, "cleaned_name", "left")
+    joined = lookup_join(sources, links, "cleaned_name", "left")
     found = F.col("_new_id").isNotNull()
     if only is not None:
         marked = only.select("source_id").distinct().withColumn("_only", F.lit(True))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from edmart.functions import messages as M
 from edmart.functions import times
+from edmart.operators.joins import lookup_join
 from edmart.operators.counts import count_per, distinct_course_counts, school_counts
 from edmart.operators.logtimes import school_log_summary, scrape_times
 from edmart.sources.tables import Tables
@@ -129,19 +130,20 @@ def _with_slots_log(rows: DataFrame, logs: DataFrame) -> DataFrame:
 
 
 def _performance(t: Tables, fallback: bool) -> DataFrame:
-    spine = scrape_times(t.sources, t.logs, fallback)
-    rows = _with_slots_log(_with_end_log(spine, t.logs), t.logs)
-    per_source = (
-        t.sources.select("source_id", "source_name", "cleaned_name")
-        .join(count_per(t.urls, "url_source_id", "url_count").withColumnRenamed("url_source_id", "source_id"),
-              "source_id", "left")
-        .join(count_per(t.courses, "course_source_id", "course_count").withColumnRenamed("course_source_id", "source_id"),
-              "source_id", "left")
-    )
+    """One row per source with everything that is single per source, then the fan-out joins."""
+    urls = count_per(t.urls.withColumnRenamed("url_source_id", "source_id"), "source_id", "url_count")
+    courses = count_per(t.courses.withColumnRenamed("course_source_id", "source_id"), "source_id", "course_count")
     runs = t.runs.select(
         F.col("run_id").alias("max_run_id"), "run_id", "run_status", "run_start_time", "run_end_time"
     )
-    return rows.join(per_source, "source_id").join(runs, "max_run_id", "left")
+    spine = (
+        scrape_times(t.sources, t.logs, fallback)
+        .join(t.sources.select("source_id", "source_name", "cleaned_name"), "source_id")
+        .join(urls, "source_id", "left")
+        .join(courses, "source_id", "left")
+        .transform(lookup_join, runs, "max_run_id", "left")
+    )
+    return _with_slots_log(_with_end_log(spine, t.logs), t.logs)
 
 
 def _extraction_text() -> Column:
@@ -188,14 +190,16 @@ def courses_with_taxonomy(t: Tables) -> DataFrame:
 
     Labels meet their descriptions on the small taxonomy first; course texts join last.
     """
-    labels = t.course_taxonomy01.select("course_id", "taxonomy_id").join(
-        t.taxonomy01.select("taxonomy_id", "taxonomy_description"), "taxonomy_id"
+    labels = lookup_join(
+        t.course_taxonomy01.select("course_id", "taxonomy_id"),
+        t.taxonomy01.select("taxonomy_id", "taxonomy_description"),
+        "taxonomy_id",
     )
     courses = t.courses.select(
         "course_id", F.col("course_source_id").alias("source_id"), "course_title", "course_description"
     )
     return (
         courses.join(labels, "course_id")
-        .join(t.sources.select("source_id", "cleaned_name"), "source_id")
+        .transform(lookup_join, t.sources.select("source_id", "cleaned_name"), "source_id")
         .select("taxonomy_id", "taxonomy_description", "course_title", "course_description", "cleaned_name")
     )
