@@ -160,5 +160,5 @@ def match_sources(sources: DataFrame, universities: DataFrame) -> DataFrame:
         "unitid",
         *extra,
         "match_type",
-        F.lit(1).alias("rn"),
+        F.lit(1).cast("bigint").alias("rn"),
     )

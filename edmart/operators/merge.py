@@ -57,7 +57,8 @@ def merge_table(
     are updated): the updates are a left join that keeps every target row in place,
     so a small batch is broadcast by its size and the table is not shuffled, and a
     hot target key can be split. The inserts only need the keys of target that
-    occur in the batch.
+    occur in the batch. The batch is read three times: pass ``lineage.cut(batch)``
+    when it is expensive to compute.
     """
     null_safe = dict(null_safe or {})
     defaults = dict(defaults or {})

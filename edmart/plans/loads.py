@@ -1,4 +1,8 @@
-"""Yearly survey loads: scan, validate, merge; all-or-nothing."""
+"""Yearly survey loads: scan, validate, merge; all-or-nothing.
+
+The validated batch is far smaller than the survey rows and is read several times
+by the merge, so it is stored once where the session has a checkpoint folder.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +14,9 @@ from pyspark.sql import functions as F
 
 from edmart import schemas
 from edmart.operators import merge, validate
+from edmart.operators.lineage import cut
 from edmart.sources.survey import SurveyScan, scan_survey
+from edmart.sources.tables import by_partition
 
 
 class Load(NamedTuple):
@@ -28,7 +34,7 @@ def load_gradrates(
 ) -> Load:
     scan = scan_survey(spark, directory, "GR", **scan_options)
     rows = validate.valid_gradrates(scan.rows, universities)
-    batch = validate.combine_duplicates(rows, ["report_year", "unitid", "grtype"], "grtotlt", on_duplicate)
+    batch = cut(validate.combine_duplicates(rows, ["report_year", "unitid", "grtype"], "grtotlt", on_duplicate))
     report = validate.measures_report(scan.rows, universities, ["grtype", "grtotlt"])
     return Load(merge.upsert_gradrates(target, batch), batch, report, scan)
 
@@ -39,9 +45,8 @@ def load_enrollment(
 ) -> Load:
     scan = scan_survey(spark, directory, "EFFY", **scan_options)
     rows = validate.valid_enrollment(scan.rows, universities)
-    batch = validate.combine_duplicates(
-        rows, ["report_year", "unitid", "student_level"], "total_headcount", on_duplicate
-    )
+    keys = ["report_year", "unitid", "student_level"]
+    batch = cut(validate.combine_duplicates(rows, keys, "total_headcount", on_duplicate))
     report = validate.measures_report(scan.rows, universities, ["student_level", "total_headcount"])
     return Load(merge.upsert_enrollment(target, batch), batch, report, scan)
 
@@ -52,7 +57,7 @@ def load_completions(
 ) -> Load:
     """Duplicate keys are always summed here."""
     scan = scan_survey(spark, directory, "C_A", **scan_options)
-    batch = validate.completions_batch(scan.rows, universities, programs)
+    batch = cut(validate.completions_batch(scan.rows, universities, programs))
     report = validate.completions_report(scan.rows, universities, programs)
     return Load(merge.upsert_completions(target, batch), batch, report, scan)
 
@@ -78,7 +83,7 @@ def upsert_years(
     defaults = {id_column: merge.next_id(stored, id_column)}
     merged = upsert(touched, batch.filter(F.col("report_year").isin(*years)), defaults=defaults, **options)
     (
-        merged.sortWithinPartitions(*table.partition_by, *table.merge_key)
+        by_partition(merged, table)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*table.partition_by)

@@ -1,4 +1,4 @@
-"""Progress and performance marts over the operation tables. All results are lazy."""
+"""Progress and performance marts over the operation tables. Results are lazy unless staged."""
 
 from __future__ import annotations
 
@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from edmart.functions import messages as M
 from edmart.functions import times
-from edmart.operators.joins import lookup_join
 from edmart.operators.counts import count_per, distinct_course_counts, school_counts
+from edmart.operators.joins import lookup_join
+from edmart.operators.lineage import cut
 from edmart.operators.logtimes import school_log_summary, scrape_times
 from edmart.sources.tables import Tables
 
@@ -129,15 +130,20 @@ def _with_slots_log(rows: DataFrame, logs: DataFrame) -> DataFrame:
     )
 
 
-def _performance(t: Tables, fallback: bool) -> DataFrame:
-    """One row per source with everything that is single per source, then the fan-out joins."""
+def _performance(t: Tables, fallback: bool, stage: bool) -> DataFrame:
+    """One row per source with everything that is single per source, then the fan-out joins.
+
+    The per-source times come from a pass over all logs and are used twice. With
+    ``stage`` they are stored in the checkpoint folder first, which saves that pass.
+    """
     urls = count_per(t.urls.withColumnRenamed("url_source_id", "source_id"), "source_id", "url_count")
     courses = count_per(t.courses.withColumnRenamed("course_source_id", "source_id"), "source_id", "course_count")
     runs = t.runs.select(
         F.col("run_id").alias("max_run_id"), "run_id", "run_status", "run_start_time", "run_end_time"
     )
+    scraped = scrape_times(t.sources, t.logs, fallback)
     spine = (
-        scrape_times(t.sources, t.logs, fallback)
+        (cut(scraped) if stage else scraped)
         .join(t.sources.select("source_id", "source_name", "cleaned_name"), "source_id")
         .join(urls, "source_id", "left")
         .join(courses, "source_id", "left")
@@ -150,9 +156,9 @@ def _extraction_text() -> Column:
     return F.when(F.col("course_count") > 0, times.server_datetime_text("scrape_ts"))
 
 
-def scraper_performance(t: Tables) -> DataFrame:
+def scraper_performance(t: Tables, stage: bool = False) -> DataFrame:
     """Per source: its last run, extracted count, url and course counts, slots left."""
-    return _performance(t, fallback=True).select(
+    return _performance(t, fallback=True, stage=stage).select(
         "cleaned_name",
         "source_name",
         "run_id",
@@ -168,9 +174,9 @@ def scraper_performance(t: Tables) -> DataFrame:
     )
 
 
-def dashboard_scraper_performance(t: Tables) -> DataFrame:
+def dashboard_scraper_performance(t: Tables, stage: bool = False) -> DataFrame:
     """Per source: counts, last run, scrape start, end and duration as text, slots left."""
-    return _performance(t, fallback=False).select(
+    return _performance(t, fallback=False, stage=stage).select(
         F.col("cleaned_name").alias("canonical_name"),
         "source_name",
         "url_count",

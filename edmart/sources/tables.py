@@ -27,12 +27,12 @@ class Tables(Mapping[str, DataFrame]):
     @classmethod
     def load(
         cls, spark: SparkSession, directory: str, names: Iterable[str] = SOURCE_TABLES,
-        format: str = "parquet", views: bool = False,
+        format: str = "parquet", views: bool = False, suffix: str = "",
     ) -> Tables:
-        """One table per sub-directory or file ``<name>`` / ``<name>.parquet`` of ``directory``."""
+        """One table per file or sub-directory ``<name><suffix>`` of ``directory``."""
         frames = {}
         for name in names:
-            path = f"{directory.rstrip('/')}/{name}"
+            path = f"{directory.rstrip('/')}/{name}{suffix}"
             frames[name] = spark.read.format(format).load(path)
             if views:
                 frames[name].createOrReplaceTempView(name)
@@ -88,17 +88,22 @@ def save_mart(df: DataFrame, name: str, path: str | None = None, format: str = "
     return df
 
 
-def save_table(df: DataFrame, path: str, table: str, format: str = "parquet") -> None:
-    """Write a new version of a table, facts by year and sorted for row-group pruning.
+def by_partition(df: DataFrame, table: schemas.Table) -> DataFrame:
+    """Rows gathered by the table's partition columns and sorted by its key, for writing.
 
-    A partition's rows spread over as many tasks as the plan gives them: nothing
-    forces one task per year.
+    The rebalance keeps files few (a task does not write into every year) and near
+    the advisory size: adaptive execution splits a year that holds most rows and
+    merges small ones. The sort makes row-group statistics on the key useful.
     """
+    if not table.partition_by:
+        return df
+    return df.hint("rebalance", *table.partition_by).sortWithinPartitions(*table.partition_by, *table.merge_key)
+
+
+def save_table(df: DataFrame, path: str, table: str, format: str = "parquet") -> None:
+    """Write a new version of a table, facts partitioned by year."""
     declared = schemas.TABLES[table]
-    writer = df
-    if declared.partition_by:
-        writer = df.sortWithinPartitions(*declared.partition_by, *declared.merge_key)
-    out = writer.write.mode("overwrite").format(format)
+    out = by_partition(df, declared).write.mode("overwrite").format(format)
     if declared.partition_by:
         out = out.partitionBy(*declared.partition_by)
     out.save(path)

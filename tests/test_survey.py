@@ -146,6 +146,22 @@ def test_upsert_years_rewrites_only_touched_partitions(spark, frame, tmp_path):
     assert {p: p.stat().st_mtime_ns for p in (tmp_path / "facts" / "report_year=2020").glob("*.parquet")} == before
 
 
+def test_facts_are_rebalanced_by_year(spark, frame):
+    df = frame([(1, 2020, 1, 1, 5)], schemas.ENROLLMENT.struct)
+    plan = tables.by_partition(df, schemas.ENROLLMENT)._jdf.queryExecution().executedPlan().toString()
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_load_with_a_checkpoint_folder(spark, folder, units, programs, frame, tmp_path_factory):
+    target = frame([], "completion_id bigint, report_year int, unitid int, cipcode decimal(10,4), award_level int, total_completions int")
+    plain = loads.load_completions(spark, folder, units, programs, target)
+    spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
+    load = loads.load_completions(spark, folder, units, programs, target)
+    plan = load.batch._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" in plan and "Aggregate" not in plan
+    assert rows(load.facts.drop("completion_id")) == rows(plain.facts.drop("completion_id"))
+
+
 def test_year_filter_prunes_fact_partitions(spark, frame, tmp_path):
     path = str(tmp_path / "facts")
     tables.save_table(frame([(1, 2020, 1, 1, 5), (2, 2021, 1, 1, 6)], schemas.ENROLLMENT.struct), path, "enrollment_fact")
