@@ -65,11 +65,10 @@ FROM benchmark
 """,
     "courses": """
 SELECT CAST(doc_id AS STRING) AS course_id, replace(source, 'src', '') AS course_source_id,
-  split_part(text, '.', 1) AS course_title,
-  nullif(substr(text, length(split_part(text, '.', 1)) + 2), '') AS course_description,
+  course_title, nullif(substr(text, length(course_title) + 2), '') AS course_description,
   CASE WHEN lang <> 'en' THEN lang || CAST(doc_id AS STRING) END AS course_code,
   CAST(CAST(floor(n_chars / 1000) AS INT) AS STRING) AS course_credits
-FROM documents
+FROM (SELECT *, split_part(text, '.', 1) AS course_title FROM documents) d
 """,
     "logs": """
 SELECT event_id AS log_id, CAST(1000 + floor(hour(ts) / 8) AS INT) AS log_run_id,

@@ -130,8 +130,8 @@ def match_sources(sources: DataFrame, universities: DataFrame) -> DataFrame:
     matched = (
         sources.select("source_id", "source_name", "cleaned_name", "src_host")
         .withColumn("name_key", F.lower("cleaned_name"))
-        .transform(lookup_join, _host_matches(sources, universities), "src_host", "left")
-        .transform(lookup_join, _name_matches(sources, universities), "name_key", "left")
+        .transform(lookup_join, _host_matches(sources, universities), "src_host", "left", ["source_id"])
+        .transform(lookup_join, _name_matches(sources, universities), "name_key", "left", ["source_id"])
     )
     by_host = F.col("host_unitid").isNotNull()
     unitid = F.coalesce("host_unitid", "name_unitid")
@@ -150,7 +150,7 @@ def match_sources(sources: DataFrame, universities: DataFrame) -> DataFrame:
     best = matched.groupBy("source_name").agg(F.min(choice).alias("best")).select("source_name", "best.*")
     extra = [c for c in ("universities_table_id",) if c in universities.columns]
     institutions = universities.select("unitid", "instnm", "uni_host", *extra)
-    return lookup_join(best, institutions, "unitid", "left").select(
+    return lookup_join(best, institutions, "unitid", "left", ["source_name"]).select(
         "cleaned_name",
         "source_name",
         "source_id",

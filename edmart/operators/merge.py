@@ -79,7 +79,7 @@ def merge_table(
         *[F.col(c).alias(f"_new_{c}") for c in dict.fromkeys([*update, *keep_old])],
     )
 
-    joined = lookup_join(target.select("*", *key_columns()), changes, merge_keys, "left")
+    joined = lookup_join(target.select("*", *key_columns()), changes, merge_keys, "left", target.columns)
     hit = F.col("_hit").isNotNull()
     stamps = _update_stamps(target, audit, user, now)
     out = []

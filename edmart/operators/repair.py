@@ -38,13 +38,11 @@ def dedupe_programs(programs: DataFrame, column: str = "cipcode") -> DataFrame:
 def drop_orphans(facts: DataFrame, programs: DataFrame, column: str = "cipcode") -> DataFrame:
     """Facts whose code is a program, and facts without a code.
 
-    Facts without a code never enter the join: as NULL keys they would all be
-    shuffled to one task.
+    One pass over the facts: a semi join would lose the NULL codes and ask for a second.
     """
-    codes = programs.select(column).filter(F.col(column).isNotNull())
-    kept = lookup_join(facts.filter(F.col(column).isNotNull()), codes, column, "left_semi")
-    kept = kept.select(*facts.columns)
-    return kept.unionByName(facts.filter(F.col(column).isNull()))
+    codes = programs.select(column).distinct().withColumn("_known", F.lit(True))
+    marked = lookup_join(facts, codes, column, "left", facts.columns)
+    return marked.filter(F.col("_known").isNotNull() | F.col(column).isNull()).select(*facts.columns)
 
 
 def repair_programs_and_facts(programs: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -90,7 +88,9 @@ def delete_cascade(tables: Mapping[str, DataFrame], root: str, ids: DataFrame) -
     for child, key, parent_key, cascades in _children(root):
         if cascades and child in tables:
             keys = gone.select(F.col(parent_key).alias(key))
-            out[child] = lookup_join(tables[child], keys, key, "left_anti").select(*tables[child].columns)
+            own_key = schemas.TABLES[child].primary_key
+            left = lookup_join(tables[child], keys, key, "left_anti", own_key)
+            out[child] = left.select(*tables[child].columns)
     return out
 
 

@@ -50,7 +50,7 @@ def link_sources(sources: DataFrame, distinct_sources: DataFrame, only: DataFram
     links = distinct_sources.select(
         F.col("distinct_name").alias("cleaned_name"), F.col("distinct_id").alias("_new_id")
     )
-    joined = lookup_join(sources, links, "cleaned_name", "left")
+    joined = lookup_join(sources, links, "cleaned_name", "left", ["source_id"])
     found = F.col("_new_id").isNotNull()
     if only is not None:
         marked = only.select("source_id").distinct().withColumn("_only", F.lit(True))

@@ -60,6 +60,18 @@ def test_drop_orphans_of_a_hot_code(spark, skewed):
     assert splits(repair.drop_orphans(facts, programs)) == (True, N // 3 + 1)
 
 
+def test_missing_codes_do_not_gather_in_one_task(spark, skewed):
+    programs = spark.createDataFrame([("k1",)], "cipcode string")
+    facts = skewed.select(F.when(F.col("key") != "hot", F.col("key")).alias("cipcode"), "id", "payload")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        marked = repair.drop_orphans(facts, programs)
+        sizes = [r["count"] for r in marked.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == N // 3 + 1 and len(sizes) == 8 and max(sizes) < N // 3 / 4
+
+
 def test_cascade_of_a_hot_source(spark, skewed):
     logs = skewed.select(F.col("id").alias("log_id"), F.col("key").alias("log_source_id"), "payload")
     sources = spark.createDataFrame([("hot",), ("k1",)], "source_id string")
