@@ -42,6 +42,7 @@ def merge_table(
     audit: str | None = None,
     user: Column | None = None,
     now: Column | None = None,
+    order_inserts: bool = False,
 ) -> DataFrame:
     """The table after MERGE: matched rows updated, unmatched source rows inserted.
 
@@ -52,6 +53,8 @@ def merge_table(
     ``defaults``   values of inserted rows for target columns the source lacks or
                    leaves NULL
     ``audit``      table name whose audit columns are stamped on changed rows
+    ``order_inserts``  sort inserted rows by key within their partition, so that ids
+                   numbered by position come out the same when a lost task is run again
 
     A source with two rows for one key fails. A target key may repeat (all its rows
     are updated): the updates are a left join that keeps every target row in place,
@@ -100,6 +103,8 @@ def merge_table(
     fresh = batch.join(known, merge_keys, "left_anti").drop(*merge_keys)
     if len(null_safe) < len(keys):
         fresh = fresh.unionByName(source.filter(any_null))
+    if order_inserts:
+        fresh = fresh.sortWithinPartitions(*keys, *[c for c in fresh.columns if c not in keys])
     return updated.unionByName(insert_rows(fresh, target, defaults, audit, user, now))
 
 
@@ -137,7 +142,10 @@ def insert_rows(
 
 
 def next_id(target: DataFrame, id_column: str, start: int = 1) -> Column:
-    """Ids above the largest stored one, with gaps and without a global order."""
+    """Ids above the largest stored one, with gaps and without a global order.
+
+    Numbered by position: use with ``order_inserts``.
+    """
     top = target.agg(F.coalesce(F.max(id_column), F.lit(start - 1))).scalar()
     return top + 1 + F.monotonically_increasing_id()
 
@@ -174,6 +182,7 @@ def _upsert_fact(table: schemas.Table, measure: str, target: DataFrame, data: Da
     id_column = table.primary_key[0]
     if id_column in target.columns:
         options["defaults"] = {id_column: next_id(target, id_column), **options.get("defaults", {})}
+        options["order_inserts"] = True
     return merge_table(target, data, list(table.merge_key), update=[measure], **options)
 
 

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from edmart.operators import counts, logtimes, staging
+from edmart.operators.audit import with_audit
 from edmart.operators.normalise import normalise_sources
 from edmart.plans import marts
+from edmart.plans.views import register_views
 from edmart.sources.tables import Tables
 from tests.conftest import rows
 
@@ -179,6 +181,23 @@ def test_point_reads(frame, tables):
     assert rows(staging.target_urls(urls, tables.sources, "zz")) == []
 
 
+def test_views(spark, frame, tables):
+    t = tables.with_tables(courses=with_audit(tables.courses.withColumn("course_code", F.lit("x")), "courses"))
+    made = register_views(t, ["stg_sources", "stg_courses", "current_progress_summary", "stg_taxonomies"])
+    assert made == ["stg_sources", "stg_courses", "current_progress_summary"]
+    got = spark.sql("SELECT school_name FROM current_progress_summary WHERE has_courses = 1 ORDER BY 1").collect()
+    assert [r[0] for r in got] == ["alpha", "beta"]
+    assert spark.table("stg_courses").columns[-1] == "courses_table_id"
+    with pytest.raises(KeyError):
+        register_views(t, ["no_such_view"])
+
+
+def test_staged_marts_equal_lazy_ones(spark, tables, tmp_path):
+    lazy = rows(marts.scraper_performance(tables))
+    spark.sparkContext.setCheckpointDir(str(tmp_path))
+    assert rows(marts.scraper_performance(tables, stage=True)) == lazy
+
+
 def test_counts_are_taken_before_the_join(tables):
     plan = counts.school_counts(tables.sources, tables.scraper_schemas, tables.urls)._jdf.queryExecution().optimizedPlan().toString()
     # the only join sees aggregated children
