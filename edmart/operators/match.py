@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edmart.operators.joins import lookup_join
+from edmart.operators.lineage import cut
 
 
 def _substring_hashes(text: Column, length: Column) -> Column:
@@ -23,17 +24,24 @@ def _substring_hashes(text: Column, length: Column) -> Column:
     return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substring(text, i, length))))
 
 
-def contains_pairs(longs: DataFrame, long: str, shorts: DataFrame, short: str) -> DataFrame:
+def contains_pairs(
+    longs: DataFrame, long: str, shorts: DataFrame, short: str, known_lengths: bool = True
+) -> DataFrame:
     """All pairs of rows where ``long`` contains ``short``; columns of both sides are kept.
 
-    Both sides should be distinct on their text. The set of lengths is one small
-    value (no longer than the longest short name), read as a scalar subquery.
+    Both sides should be distinct on their text. With ``known_lengths`` only
+    substrings of lengths that occur among ``shorts`` are emitted: the set is one
+    small value (no longer than the longest short name), read as a scalar subquery.
+    That pays when ``shorts`` is the smaller side; otherwise leave it out.
     """
-    lengths = shorts.agg(F.sort_array(F.collect_set(F.length(short)))).scalar()
+    texts = longs.filter(F.col(long).isNotNull())
+    if known_lengths:
+        lengths = shorts.agg(F.sort_array(F.collect_set(F.length(short)))).scalar()
+        texts = texts.withColumn("match_lengths", lengths)
+    else:
+        texts = texts.withColumn("match_lengths", F.sequence(F.lit(0), F.length(long)))
     keyed_longs = (
-        longs.filter(F.col(long).isNotNull())
-        .withColumn("match_lengths", lengths)
-        .withColumn("match_length", F.explode("match_lengths"))
+        texts.withColumn("match_length", F.explode("match_lengths"))
         .filter(F.col("match_length") <= F.length(long))
         .withColumn("match_key", F.explode(_substring_hashes(F.col(long), F.col("match_length"))))
         .drop("match_lengths")
@@ -48,9 +56,14 @@ def contains_pairs(longs: DataFrame, long: str, shorts: DataFrame, short: str) -
     )
 
 
-def _either_contains(names: DataFrame, name: str, others: DataFrame, other: str) -> DataFrame:
-    """Pairs where either text contains the other. A pair of equal texts appears twice."""
-    return contains_pairs(names, name, others, other).unionByName(contains_pairs(others, other, names, name))
+def _either_contains(many: DataFrame, name: str, few: DataFrame, other: str) -> DataFrame:
+    """Pairs where either text contains the other. A pair of equal texts appears twice.
+
+    ``few`` is the side expected to be smaller; that affects the cost, not the result.
+    """
+    return contains_pairs(many, name, few, other).unionByName(
+        contains_pairs(few, other, many, name, known_lengths=False)
+    )
 
 
 def _keep_unmatched(names: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
@@ -63,8 +76,11 @@ def _keep_unmatched(names: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
     return pairs.unionByName(unmatched, allowMissingColumns=True)
 
 
-def similar_sources(names: DataFrame, sources: DataFrame, courses: DataFrame) -> DataFrame:
-    """Input names with the enabled, course-owning schools whose name contains them or is contained."""
+def similar_sources(names: DataFrame, sources: DataFrame, courses: DataFrame, stage: bool = False) -> DataFrame:
+    """Input names with the enabled, course-owning schools whose name contains them or is contained.
+
+    The pairs are used twice; with ``stage`` they are stored in the checkpoint folder first.
+    """
     wanted = names.select("source_name").distinct()
     owners = courses.select(F.col("course_source_id").alias("source_id")).distinct()
     schools = (
@@ -74,21 +90,26 @@ def similar_sources(names: DataFrame, sources: DataFrame, courses: DataFrame) ->
         .select("cleaned_name")
         .distinct()
     )
-    pairs = _either_contains(wanted, "source_name", schools, "cleaned_name").distinct()
+    pairs = _either_contains(schools, "cleaned_name", wanted, "source_name").select("source_name", "cleaned_name")
+    pairs = cut(pairs.distinct()) if stage else pairs.distinct()
     return _keep_unmatched(wanted, pairs, "source_name")
 
 
-def similar_universities(names: DataFrame, universities: DataFrame) -> DataFrame:
-    """Input names with the hosts of institutions whose name contains them or is contained."""
+def similar_universities(names: DataFrame, universities: DataFrame, stage: bool = False) -> DataFrame:
+    """Input names with the hosts of institutions whose name contains them or is contained.
+
+    ``stage`` as in ``similar_sources``.
+    """
     wanted = names.select("source_name").distinct()
     institutions = universities.select("instnm", "uni_host").distinct()
     pairs = (
-        _either_contains(wanted, "source_name", institutions.select("instnm").distinct(), "instnm")
+        _either_contains(institutions.select("instnm").distinct(), "instnm", wanted, "source_name")
         .distinct()
         .join(institutions, "instnm")
         .select("source_name", "uni_host")
         .distinct()
     )
+    pairs = cut(pairs) if stage else pairs
     return _keep_unmatched(wanted, pairs, "source_name")
 
 

@@ -61,13 +61,14 @@ def link_sources(sources: DataFrame, distinct_sources: DataFrame, only: DataFram
     return out.select(*dict.fromkeys([*sources.columns, "source_distinct_id"]))
 
 
-def university_stamps(linked: DataFrame, universities: DataFrame) -> DataFrame:
-    """unitid -> distinct id of a source matched to it.
+def university_stamps(sources: DataFrame, linked: DataFrame, universities: DataFrame) -> DataFrame:
+    """unitid -> distinct id of one of ``sources`` matched to it; ``linked`` has their links.
 
     Several schools may match one university: the first by name gives the id.
-    Unmatched sources stamp nothing.
+    Unmatched sources stamp nothing. Matching reads ``sources`` several times, the
+    links only once.
     """
-    matched = match_sources(linked, universities).filter("unitid IS NOT NULL").select("source_id", "unitid")
+    matched = match_sources(sources, universities).filter("unitid IS NOT NULL").select("source_id", "unitid")
     first = F.min(F.struct("cleaned_name", "source_distinct_id"))
     return (
         matched.join(linked.select("source_id", "cleaned_name", "source_distinct_id"), "source_id")
@@ -92,7 +93,7 @@ def stamp_universities(universities: DataFrame, stamps: DataFrame) -> DataFrame:
 
 def back_fill_universities(sources: DataFrame, universities: DataFrame) -> DataFrame:
     """Universities stamped from all linked sources."""
-    return stamp_universities(universities, university_stamps(sources, universities))
+    return stamp_universities(universities, university_stamps(sources, sources, universities))
 
 
 class Linked(NamedTuple):
@@ -113,5 +114,4 @@ def on_new_sources(
         new_distinct_names(new, distinct_sources), allowMissingColumns=True
     )
     linked = link_sources(sources, names, only=new)
-    inserted = linked.join(new.select("source_id").distinct(), "source_id", "left_semi")
-    return Linked(names, linked, stamp_universities(universities, university_stamps(inserted, universities)))
+    return Linked(names, linked, stamp_universities(universities, university_stamps(new, linked, universities)))

@@ -75,7 +75,7 @@ def process_batch(
     ).persist()
     links = linked.filter("source_distinct_id IS NOT NULL").select("source_id", "source_distinct_id")
     _append(links, base, LINKS, batch_id)
-    _append(linking.university_stamps(linked, universities), base, STAMPS, batch_id)
+    _append(linking.university_stamps(linked, linked, universities), base, STAMPS, batch_id)
     linked.unpersist()
 
 
