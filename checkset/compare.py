@@ -1,4 +1,8 @@
-"""Run registered queries in Spark and DuckDB and compare the rows: ``python -m checkset.compare [dir] [name...]``."""
+"""Run registered queries in Spark and DuckDB and compare the rows.
+
+``python -m checkset.compare [--no-broadcast] [dir] [name...]``; without broadcast every
+join takes its shuffled form.
+"""
 
 from __future__ import annotations
 
@@ -46,9 +50,14 @@ def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_d
 
 
 def main(argv: list[str]) -> int:
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    if "--no-broadcast" in argv:
+        argv = [a for a in argv if a != "--no-broadcast"]
+        settings["spark.sql.autoBroadcastJoinThreshold"] = "-1"
+        settings["spark.sql.adaptive.autoBroadcastJoinThreshold"] = "-1"
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     names = argv[1:] or list(QUERIES)
-    spark = build_session("checkset", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    spark = build_session("checkset", "local[8]", settings)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = 0

@@ -1,7 +1,6 @@
 """New-source pipeline in batch and as a stream."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from edmart.operators.normalise import normalise_sources, normalise_universities
 from edmart.plans import linking

@@ -25,3 +25,16 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_query_has_sql():
     assert set(ORACLES) == set(QUERIES)
+
+
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_no_plan_pairs_everything_or_leaves_the_jvm(spark, broadcast):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        for name, build in QUERIES.items():
+            plan = build(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+            for word in ("NestedLoop", "Cartesian", "Python", "Window ["):
+                assert word not in plan, (name, word)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
