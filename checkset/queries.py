@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 from checkset import standins
 from checkset.standins import with_clause
 from edmart.functions import cip, messages, times
-from edmart.operators import checks, counts, history, logtimes, match, merge, repair, staging, validate
-from edmart.operators.audit import with_audit
+from edmart.operators import audit, checks, counts, history, logtimes, match, merge, repair, staging, validate
 from edmart.plans import linking, marts
 from edmart.sources.tables import Tables
 
@@ -88,7 +87,7 @@ def stg_course_taxonomy(t):
 
 
 def _audited(df, table, key):
-    return with_audit(df, table, user=F.lit("loader"), now=_now(), row_id=F.sha2(F.col(key).cast("string"), 256))
+    return audit.with_audit(df, table, user=F.lit("loader"), now=_now(), row_id=F.sha2(F.col(key).cast("string"), 256))
 
 
 def _audit_sql(table: str, key: str) -> str:
@@ -131,7 +130,7 @@ def stg_runs(t):
 
 
 @query(f"SELECT url_id, url_source_id, url_link, is_target, {_audit_sql('urls', 'url_id')} FROM urls", ("urls",))
-def add_audit(t):
+def with_audit(t):
     return _times_as_text(_audited(t.urls, "urls", "url_id"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,11 +11,21 @@ from edmart.functions.text import concat_nulls_empty
 from edmart.operators.merge import one_row_per_key
 
 
-def course_snapshot_rows(details: DataFrame) -> DataFrame:
-    """Rows of the course detail mart with their history key ``taxonomy_id-course_title``."""
-    return details.select(
+# Widths of the stored snapshot columns.
+SNAPSHOT_LENGTHS = {"history_key": 350, "taxonomy_id": 50, "course_title": 250, "cleaned_name": 50}
+
+
+def course_snapshot_rows(details: DataFrame, lengths: Mapping[str, int] | None = None) -> DataFrame:
+    """Rows of the course detail mart with their history key ``taxonomy_id-course_title``.
+
+    Texts are kept whole. ``lengths`` (such as SNAPSHOT_LENGTHS) cuts them to stored
+    widths, for a history that must equal one kept in columns of those widths.
+    """
+    rows = details.select(
         concat_nulls_empty("taxonomy_id", "course_title", sep="-").alias("history_key"), *details.columns
     )
+    cut = {c: F.substring(c, 1, n) for c, n in (lengths or {}).items() if c in rows.columns}
+    return rows.withColumns(cut) if cut else rows
 
 
 def start_history(current: DataFrame, now: Column) -> DataFrame:

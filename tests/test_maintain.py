@@ -230,6 +230,10 @@ def test_scd2(frame):
 def test_snapshot_key(frame):
     details = frame([("1.3", None), ("1", "T")], "taxonomy_id string, course_title string")
     assert rows(history.course_snapshot_rows(details), "history_key") == [("1-T",), ("1.3-",)]
+    long = frame([("1", "t" * 400)], "taxonomy_id string, course_title string")
+    assert rows(history.course_snapshot_rows(long), "history_key") == [("1-" + "t" * 400,)]
+    stored = history.course_snapshot_rows(long, history.SNAPSHOT_LENGTHS)
+    assert rows(stored) == [("1-" + "t" * 348, "1", "t" * 250)]
 
 
 # --- schemas -------------------------------------------------------------------------------
