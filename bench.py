@@ -86,6 +86,8 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            # call sites in error messages; costs planning time on the driver
+            "spark.python.sql.dataFrameDebugging.enabled": "false",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

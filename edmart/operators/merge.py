@@ -21,14 +21,9 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str], what: str = "source") ->
     message = F.concat(
         F.lit(f"{what} has several rows for key "), F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
     )
-    counted = df.groupBy(*keys).agg(
-        F.first(F.struct(*rest) if rest else F.lit(True)).alias("row"), F.count("*").alias("copies")
-    )
-    row = F.when(F.col("copies") == 1, F.col("row")).otherwise(F.raise_error(message))
-    checked = counted.withColumn("row", row)
-    if not rest:
-        return checked.filter("row").select(*keys)
-    return checked.select(*keys, "row.*").select(*df.columns)
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_copies"), *[F.first(c).alias(c) for c in rest])
+    unique = F.when(F.col("_copies") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    return counted.filter(unique).select(*df.columns)
 
 
 def merge_table(

@@ -26,16 +26,19 @@ def _known_codes(rows: DataFrame, programs: DataFrame) -> DataFrame:
     return lookup_join(rows, codes, "cipcode", "left_semi")
 
 
-def _measurable(rows: DataFrame) -> DataFrame:
-    """Completions rows that pass every test that needs no other table; code as exact decimal."""
-    return rows.filter(
-        F.col("award_level").isin(*AWARD_LEVELS) & (F.col("total_completions") >= 0)
-    ).withColumn("cipcode", cip.exact_cip("cipcode"))
+def _is_measurable() -> Column:
+    """Loaded award level and a count; the tests that need no other table."""
+    return F.col("award_level").isin(*AWARD_LEVELS) & (F.col("total_completions") >= 0)
+
+
+def _with_exact_code(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("cipcode", cip.exact_cip("cipcode"))
 
 
 def valid_completions(rows: DataFrame, universities: DataFrame, programs: DataFrame) -> DataFrame:
     """Completions rows with known university, known code, loaded award level and a count."""
-    kept = _known_codes(_known_units(_measurable(rows), universities), programs)
+    measurable = _with_exact_code(rows.filter(_is_measurable()))
+    kept = _known_codes(_known_units(measurable, universities), programs)
     return kept.select(
         "report_year", "unitid", F.col("cipcode").cast(cip.CIP_TYPE).alias("cipcode"),
         "award_level", "total_completions",
@@ -52,12 +55,12 @@ def completions_batch(rows: DataFrame, universities: DataFrame, programs: DataFr
 
     Validity by university and code depends on the key alone, so the rows collapse
     to keys (map-side, whatever one university's share is) before the two joins.
+    The first sums keep the code as written; only distinct spellings are parsed, and
+    spellings of one code meet in the second sums.
     """
-    sums = aggregate_completions(_measurable(rows).select(*COMPLETION_KEYS, "total_completions"))
-    kept = _known_codes(_known_units(sums, universities), programs)
-    return kept.withColumn("cipcode", F.col("cipcode").cast(cip.CIP_TYPE)).select(
-        *COMPLETION_KEYS, "total_completions"
-    )
+    sums = aggregate_completions(rows.filter(_is_measurable()).select(*COMPLETION_KEYS, "total_completions"))
+    kept = _known_codes(_known_units(_with_exact_code(sums), universities), programs)
+    return aggregate_completions(kept.withColumn("cipcode", F.col("cipcode").cast(cip.CIP_TYPE)))
 
 
 def _valid_measures(rows: DataFrame, universities: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -96,17 +99,18 @@ def _mark_known(rows: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFr
 
 
 def completions_report(rows: DataFrame, universities: DataFrame, programs: DataFrame) -> DataFrame:
-    """Extracted and skipped rows per table; every rejected row counts as skipped."""
-    measurable = (
-        F.col("award_level").isin(*AWARD_LEVELS) & (F.col("total_completions") >= 0)
-    )
+    """Extracted and skipped rows per table; every rejected row counts as skipped.
+
+    Rows are counted per key, with the code as written, before any code is parsed or joined.
+    """
     counted = (
         rows.select(
-            "table_name", "report_year", "unitid", cip.exact_cip("cipcode").alias("cipcode"),
-            F.coalesce(measurable, F.lit(False)).alias("measurable"),
+            "table_name", "report_year", "unitid", "cipcode",
+            F.coalesce(_is_measurable(), F.lit(False)).alias("measurable"),
         )
         .groupBy("table_name", "report_year", "unitid", "cipcode", "measurable")
         .agg(F.count("*").alias("n"))
+        .transform(_with_exact_code)
     )
     codes = programs.select(F.col("cipcode").cast(cip.CIP_EXACT_TYPE).alias("cipcode"))
     marked = _mark_known(_mark_known(counted, universities, "unitid", "unit_ok"), codes, "cipcode", "code_ok")
