@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edmart.llm import quality_rules, simhash
+from edmart.llm import language_id, quality_rules, sharding, simhash, token_counts, url_filters, warc
 from edmart.llm.shared import table
 
 
@@ -15,6 +16,41 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "llr", "base_failed", "kept")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "lang",
+        "source",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
+    )
+    out = sharding.assign_shards(docs, ["lang", "source", "size"], ["text_crc32", "doc_id"])
+    return out.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "hilbert",
+        "file",
+    )
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -22,5 +58,20 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_quality_rules": op1_quality_rules, "op8_simhash": op8_simhash}
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_language_id,
+        op3_hilbert_shards,
+        op5_url_filters,
+        op6_token_counts,
+        op8_simhash,
+        op9_warc_revisits,
+    )
+}
 ORACLES: dict[str, str] = {}
