@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edmart.llm import language_id, quality_rules, sharding, simhash, token_counts, url_filters, warc
+from edmart.llm import decontaminate, language_id, quality_rules, sharding, simhash, suffix_dedup, token_counts, url_filters, warc
 from edmart.llm.shared import table
 
 
@@ -51,6 +51,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
 
 
+def op7_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row_hash")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
@@ -62,6 +67,10 @@ def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(table(spark, sf_dir, "pages"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -70,8 +79,10 @@ QUERIES = {
         op3_hilbert_shards,
         op5_url_filters,
         op6_token_counts,
+        op7_benchmark_templates,
         op8_simhash,
         op9_warc_revisits,
+        op10_suffix_dedup,
     )
 }
 ORACLES: dict[str, str] = {}

@@ -46,8 +46,8 @@ def revisits(head: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     return met.filter(other).select("page_id", "digest", F.col("original").alias("refers_to")).distinct()
 
 
-def record_id(page_id: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(">"))
+def record_id(key: Column) -> Column:
+    return F.concat(F.lit("<urn:page:"), key, F.lit(">"))
 
 
 def records(pages: DataFrame, least: int = LEAST_BYTES, date: str = DATE, files: int | None = None) -> DataFrame:
@@ -58,17 +58,19 @@ def records(pages: DataFrame, least: int = LEAST_BYTES, date: str = DATE, files:
     """
     head = headers(pages)
     payload = F.coalesce("html", F.lit(""))
+    # ids as text, so that NULL ids join and the join reuses the partitioning below
+    key = F.coalesce(F.col("page_id").cast("string"), F.lit("none"))
     rows = pages.select(
-        "page_id",
+        key.alias("id"),
         F.coalesce("url", F.lit("")).alias("url"),
         payload.alias("payload"),
         F.octet_length(payload).alias("size"),
         F.sha1(F.encode(payload, "UTF-8")).alias("digest"),
     )
-    found = revisits(head, least).withColumnRenamed("page_id", "id").withColumnRenamed("digest", "of")
+    found = revisits(head, least).select(key.alias("id"), "digest", F.col("refers_to").cast("string"))
     if files:
-        rows, found = rows.repartition(files, "page_id", "digest"), found.repartition(files, "id", "of")
-    rows = rows.join(found, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("of")), "left")
+        rows, found = rows.repartition(files, "id", "digest"), found.repartition(files, "id", "digest")
+    rows = rows.join(found, ["id", "digest"], "left")
     target = F.col("url")
     for char in " \t\n\r\x0b\x0c":
         target = F.replace(target, F.lit(char), F.lit(f"%{ord(char):02X}"))
@@ -86,7 +88,7 @@ def records(pages: DataFrame, least: int = LEAST_BYTES, date: str = DATE, files:
     record = F.concat(
         F.lit(VERSION + LINE_END),
         header("WARC-Type", F.when(is_revisit, F.lit("revisit")).otherwise(F.lit("response"))),
-        header("WARC-Record-ID", record_id(F.col("page_id"))),
+        header("WARC-Record-ID", record_id(F.col("id"))),
         header("WARC-Date", F.lit(date)),
         header("WARC-Target-URI", target),
         header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
