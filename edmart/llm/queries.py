@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edmart.llm import decontaminate, language_id, quality_rules, sharding, simhash, suffix_dedup, token_counts, url_filters, warc
+from edmart.llm import (
+    decontaminate,
+    language_id,
+    quality_rules,
+    sentencepieces,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    url_filters,
+    warc,
+)
 from edmart.llm.shared import table
 
 
@@ -42,6 +53,11 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return sentencepieces.encode_docs(table(spark, sf_dir, "documents"), path)
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
@@ -77,6 +93,7 @@ QUERIES = {
         op1_quality_rules,
         op2_language_id,
         op3_hilbert_shards,
+        op4_sentencepiece_nbest,
         op5_url_filters,
         op6_token_counts,
         op7_benchmark_templates,

@@ -123,8 +123,7 @@ class TokenCounter:
             cut.append((len(parts) - 1, [p for part in parts for p in self.pieces(part)]))
         if len(self.known) > CACHE_PIECES:
             self.known.clear()
-        new = set().union(*[own for _, own in cut]) - self.known.keys()
-        self.learn(new)
+        self.learn(p for p in set().union(*[own for _, own in cut]) if p not in self.known)
         return [n + sum(map(self.known.__getitem__, own)) for n, own in cut]
 
 
