@@ -1,7 +1,4 @@
-"""Time the headline queries: ``BENCH_SF_DIR``, ``BENCH_CPUS``; prints one JSON line.
-
-``--forms`` times the plain forms of the rewritten joins next to the forms used.
-"""
+"""Time the headline queries: ``BENCH_SF_DIR``, ``BENCH_CPUS``; prints one JSON line."""
 
 from __future__ import annotations
 
@@ -13,7 +10,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checkset import standins  # noqa: E402
 from checkset.queries import QUERIES  # noqa: E402
 from edmart.session import build_session  # noqa: E402
 
@@ -37,26 +33,6 @@ HEADLINE = [
     "scd2_snapshot",
 ]
 
-PLAIN_FORMS = {
-    "match_sources": """
-      SELECT * FROM (SELECT s.source_name, s.source_id, u.unitid, row_number() OVER (PARTITION BY s.source_name
-          ORDER BY CASE WHEN s.src_host = u.uni_host OR endswith(s.src_host, '.' || u.uni_host) THEN 1 ELSE 2 END,
-          u.unitid NULLS LAST, s.source_id) AS rn
-        FROM sources s LEFT JOIN universities u ON s.src_host = u.uni_host OR endswith(s.src_host, '.' || u.uni_host)
-          OR contains(lower(s.cleaned_name), lower(u.instnm)) OR contains(lower(u.instnm), lower(s.cleaned_name)))
-      WHERE rn = 1""",
-    "scrape_complete_fallback": """
-      SELECT s.source_id, coalesce(max(l.log_ts), max(b.log_ts)) AS scrape_ts,
-        coalesce(max(l.log_run_id), max(b.log_run_id)) AS max_run_id
-      FROM sources s LEFT JOIN logs l ON s.source_id = l.log_source_id AND l.log_message LIKE '%records scraped%'
-      LEFT JOIN logs b ON s.source_id = b.log_source_id GROUP BY s.source_id""",
-    "latest_log": """
-      SELECT school_name, log_message, log_run_id FROM (SELECT s.cleaned_name AS school_name, l.*,
-          row_number() OVER (PARTITION BY s.cleaned_name ORDER BY l.log_ts DESC, l.log_id DESC) AS rn
-        FROM logs l JOIN sources s ON s.source_id = l.log_source_id) WHERE rn = 1""",
-}
-
-
 def run(df) -> float:
     start = time.perf_counter()
     df.write.format("noop").mode("overwrite").save()
@@ -91,18 +67,6 @@ def main() -> None:
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
-    if "--forms" in sys.argv:
-        tables = standins.load(spark, sf_dir)
-        for name in ("sources", "universities", "logs"):
-            tables[name].createOrReplaceTempView(name)
-        out = {}
-        for name, sql in PLAIN_FORMS.items():
-            out[name] = {
-                "plain": timed(lambda: spark.sql(sql), repeats),
-                "used": timed(lambda: QUERIES[name](spark, sf_dir), repeats),
-            }
-        print(json.dumps({"forms": out, "sf": os.path.basename(sf_dir.rstrip("/"))}))
-        return
     names = [a for a in sys.argv[1:] if not a.startswith("-")] or HEADLINE
     queries = {name: timed(lambda: QUERIES[name](spark, sf_dir), repeats) for name in names}
     print(

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from checkset import standins
 from checkset.standins import with_clause
+from edmart import schemas
 from edmart.functions import cip, messages, times
 from edmart.operators import audit, checks, counts, history, logtimes, match, merge, repair, staging, validate
-from edmart.plans import linking, marts
+from edmart.plans import linking, loads, marts
+from edmart.sources import survey
 from edmart.sources.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -170,15 +172,6 @@ def course_data(t):
     return staging.course_data(t.courses, t.sources)
 
 
-@query(
-    """SELECT course_id, course_code, course_title, course_description, course_credits FROM courses c
-JOIN sources s ON s.source_id = c.course_source_id ORDER BY course_id LIMIT 100""",
-    ("courses", "sources"),
-)
-def course_data_top(t):
-    return staging.course_data(t.courses, t.sources, limit=100)
-
-
 # --- derived columns -----------------------------------------------------------------------
 
 
@@ -268,36 +261,31 @@ def time_texts(t):
 
 STATUS_TABLES = ("sources", "scraper_schemas", "urls", "courses")
 
+# One grouped count over all things a source owns, and the greatest log per school as a struct.
 STATUS_CTES = """,
-schema_counts AS (SELECT cleaned_name, count(*) AS schema_count FROM scraper_schemas
-  JOIN sources ON source_id = scraper_schema_source_id GROUP BY cleaned_name),
-url_counts AS (SELECT cleaned_name, count(*) AS url_count FROM urls
-  JOIN sources ON source_id = url_source_id GROUP BY cleaned_name),
-course_counts AS (SELECT cleaned_name, count(*) AS course_count FROM (
-  SELECT DISTINCT cleaned_name, course_description, course_title FROM courses
-  JOIN sources ON source_id = course_source_id) d GROUP BY cleaned_name),
-source_counts AS (SELECT cleaned_name, count(*) AS source_count FROM sources GROUP BY cleaned_name),
-status AS (SELECT s.cleaned_name, bool_or(s.is_enabled) AS any_enabled, any_value(source_count) AS source_count,
-    coalesce(any_value(schema_count), 0) AS schema_count, coalesce(any_value(url_count), 0) AS url_count,
-    coalesce(any_value(course_count), 0) AS course_count
-  FROM sources s LEFT JOIN source_counts USING (cleaned_name) LEFT JOIN schema_counts USING (cleaned_name)
-  LEFT JOIN url_counts USING (cleaned_name) LEFT JOIN course_counts USING (cleaned_name)
-  GROUP BY s.cleaned_name),
-school_logs AS (SELECT s.cleaned_name AS school_name, l.* FROM logs l JOIN sources s ON s.source_id = l.log_source_id),
-latest_scrape AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY school_name ORDER BY log_ts DESC, log_id DESC)
-  AS rn FROM school_logs WHERE lower(log_message) LIKE '%records scraped%') x WHERE rn = 1),
-latest_log AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY school_name ORDER BY log_ts DESC, log_id DESC)
-  AS rn FROM school_logs) x WHERE rn = 1),
-progress AS (SELECT d.cleaned_name AS school_name, source_count, schema_count, url_count, course_count,
-    CASE WHEN course_count > 0 THEN 1 ELSE 0 END AS has_courses,
-    coalesce(strftime(c.log_ts, '%Y-%m-%d %H:%M'), '0') AS last_scrape_ts,
-    CASE WHEN course_count > 0 THEN 'Data Present' WHEN c.log_ts IS NOT NULL THEN 'Scraped, No Courses'
-      WHEN url_count > 0 THEN 'Crawled, Pending Scrape' WHEN schema_count > 0 THEN 'Schema Generated'
-      ELSE 'Pending' END AS summary_status,
-    g.log_message AS last_log, g.log_run_id AS run_id, r.run_status
-  FROM status d LEFT JOIN latest_scrape c ON c.school_name = d.cleaned_name
-  LEFT JOIN latest_log g ON g.school_name = d.cleaned_name LEFT JOIN runs r ON r.run_id = g.log_run_id
-  WHERE any_enabled)
+owned AS (SELECT scraper_schema_source_id AS sid, 's' AS kind, NULL AS course FROM scraper_schemas
+  UNION ALL SELECT url_source_id, 'u', NULL FROM urls
+  UNION ALL SELECT course_source_id, 'c', struct_pack(a := course_title, b := course_description) FROM courses),
+tally AS (SELECT s.cleaned_name, count(*) FILTER (kind = 's') AS n_s, count(*) FILTER (kind = 'u') AS n_u,
+    count(DISTINCT course) FILTER (kind = 'c') AS n_c
+  FROM owned JOIN sources s ON s.source_id = sid GROUP BY s.cleaned_name),
+status AS (SELECT cleaned_name, bool_or(is_enabled) AS any_enabled, count(*) AS source_count,
+    coalesce(max(n_s), 0) AS schema_count, coalesce(max(n_u), 0) AS url_count, coalesce(max(n_c), 0) AS course_count
+  FROM sources LEFT JOIN tally USING (cleaned_name) GROUP BY cleaned_name),
+tops AS (SELECT s.cleaned_name AS school_name,
+    max(struct_pack(log_ts, log_id, log_message, log_run_id)) AS newest,
+    max(struct_pack(log_ts, log_id, log_message)) FILTER (contains(lower(log_message), 'records scraped')) AS done
+  FROM logs, sources s WHERE log_source_id = s.source_id GROUP BY s.cleaned_name),
+latest_scrape AS (SELECT school_name, done.log_ts AS log_ts, done.log_message AS log_message FROM tops WHERE done IS NOT NULL),
+latest_log AS (SELECT school_name, newest.log_message AS log_message, newest.log_run_id AS log_run_id FROM tops),
+progress AS (SELECT school_name, source_count, schema_count, url_count, course_count,
+    CAST(course_count > 0 AS INT) AS has_courses,
+    coalesce(strftime(done.log_ts, '%Y-%m-%d %H:%M'), '0') AS last_scrape_ts,
+    ['Data Present', 'Scraped, No Courses', 'Crawled, Pending Scrape', 'Schema Generated', 'Pending'][
+      list_position([course_count > 0, done IS NOT NULL, url_count > 0, schema_count > 0, true], true)] AS summary_status,
+    newest.log_message AS last_log, newest.log_run_id AS run_id, run_status
+  FROM (SELECT cleaned_name AS school_name, * FROM status WHERE any_enabled) LEFT JOIN tops USING (school_name)
+  LEFT JOIN runs ON runs.run_id = newest.log_run_id)
 """
 
 
@@ -369,29 +357,28 @@ def dashboard_data_summary(t):
 
 
 def _complete_ctes(fallback: bool) -> str:
-    ts, run = ("max(l.log_ts)", "max(l.log_run_id)")
-    if fallback:
-        ts, run = (f"coalesce({ts}, max(b.log_ts))", f"coalesce({run}, max(b.log_run_id))")
+    ts, run = ("coalesce(done_ts, any_ts)", "coalesce(done_run, any_run)") if fallback else ("done_ts", "done_run")
     return f""",
-complete AS (SELECT s.source_id, {ts} AS scrape_ts, {run} AS max_run_id FROM sources s
-  LEFT JOIN logs l ON s.source_id = l.log_source_id AND l.log_message LIKE '%records scraped%'
-  LEFT JOIN logs b ON s.source_id = b.log_source_id GROUP BY s.source_id),
-start AS (SELECT s.source_id, max(l.log_ts) AS scrape_ts FROM sources s
-  LEFT JOIN logs l ON s.source_id = l.log_source_id AND l.log_message LIKE '%no data found, scraping%'
-  GROUP BY s.source_id),
-url_counts AS (SELECT url_source_id, count(*) AS url_count FROM urls GROUP BY url_source_id),
-course_counts AS (SELECT course_source_id, count(*) AS course_count FROM courses GROUP BY course_source_id),
-joined AS (SELECT s.cleaned_name, s.source_name, r.run_id, r.run_status, r.run_start_time, r.run_end_time,
-    l.log_message AS end_message, url_count, course_count, m.log_ts AS slots_ts, m.log_message AS slots_message,
-    c.scrape_ts, b.scrape_ts AS start_ts
-  FROM complete c JOIN sources s ON s.source_id = c.source_id LEFT JOIN start b ON b.source_id = s.source_id
-  LEFT JOIN logs l ON l.log_ts = c.scrape_ts AND l.log_source_id = c.source_id AND l.log_run_id = c.max_run_id
-    AND l.log_message NOT LIKE 'writing records%'
-  LEFT JOIN logs m ON m.log_run_id = l.log_run_id AND m.log_source_id = c.source_id
-    AND m.log_message LIKE '%scrape (slots left:%'
-  LEFT JOIN runs r ON r.run_id = c.max_run_id
-  LEFT JOIN url_counts uc ON uc.url_source_id = s.source_id
-  LEFT JOIN course_counts cc ON cc.course_source_id = s.source_id)
+per_source AS (SELECT log_source_id AS source_id, max(log_ts) AS any_ts, max(log_run_id) AS any_run,
+    max(log_ts) FILTER (contains(log_message, 'records scraped')) AS done_ts,
+    max(log_run_id) FILTER (contains(log_message, 'records scraped')) AS done_run,
+    max(log_ts) FILTER (contains(log_message, 'no data found, scraping')) AS start_ts
+  FROM logs GROUP BY log_source_id),
+complete AS (SELECT source_id, cleaned_name, source_name, {ts} AS scrape_ts, {run} AS max_run_id, start_ts
+  FROM sources LEFT JOIN per_source USING (source_id)),
+start AS (SELECT source_id, start_ts AS scrape_ts FROM complete),
+ends AS (SELECT log_source_id AS source_id, log_ts AS scrape_ts, log_run_id AS max_run_id, log_message AS end_message
+  FROM logs WHERE NOT starts_with(log_message, 'writing records')),
+slots AS (SELECT log_source_id AS source_id, log_run_id AS max_run_id, true AS ended, log_ts AS slots_ts,
+    log_message AS slots_message FROM logs WHERE contains(log_message, 'scrape (slots left:')),
+owned AS (SELECT source_id, nullif(count(*) FILTER (k = 'u'), 0) AS url_count,
+    nullif(count(*) FILTER (k = 'c'), 0) AS course_count
+  FROM (SELECT url_source_id AS source_id, 'u' AS k FROM urls UNION ALL SELECT course_source_id, 'c' FROM courses)
+  GROUP BY source_id),
+joined AS (SELECT *, scrape_ts AS end_ts
+  FROM (SELECT *, end_message IS NOT NULL AS ended FROM complete LEFT JOIN ends USING (source_id, scrape_ts, max_run_id))
+  LEFT JOIN slots USING (source_id, max_run_id, ended) LEFT JOIN owned USING (source_id)
+  LEFT JOIN runs ON runs.run_id = max_run_id)
 """
 
 
@@ -482,19 +469,91 @@ NAME_HIT = (
 )
 
 
-def _ranked_sql(sources: str = "sources") -> str:
-    return f"""SELECT s.cleaned_name, s.source_name, s.source_id, s.src_host, u.instnm, u.uni_host, u.unitid,
-    CASE WHEN {HOST_HIT} THEN 'host_match' WHEN {NAME_HIT} THEN 'name_match' ELSE 'no_match' END AS match_type,
-    row_number() OVER (PARTITION BY s.source_name ORDER BY CASE WHEN {HOST_HIT} THEN 1 ELSE 2 END,
-      u.unitid NULLS LAST, s.source_id) AS rn
-  FROM {sources} s LEFT JOIN universities u ON {HOST_HIT} OR {NAME_HIT}"""
+def _best_sql(sources: str = "sources") -> str:
+    """The least (kind of match, unit, source) per source name, found among host pairs, name pairs and no pair."""
+    return f"""SELECT w.cleaned_name, w.source_name, w.source_id, w.src_host, v.instnm, v.uni_host, v.unitid,
+    ['host_match', 'name_match', 'no_match'][best.kind] AS match_type, CAST(1 AS BIGINT) AS rn
+  FROM (SELECT source_name, min(struct_pack(kind, unitid, source_id)) AS best FROM (
+      SELECT s.source_name, 1 AS kind, u.unitid, s.source_id FROM {sources} s JOIN universities u ON {HOST_HIT}
+      UNION ALL SELECT s.source_name, 2, u.unitid, s.source_id FROM {sources} s JOIN universities u ON {NAME_HIT}
+      UNION ALL SELECT source_name, 3, NULL, source_id FROM {sources}) GROUP BY source_name)
+  JOIN {sources} w ON w.source_id = best.source_id LEFT JOIN universities v ON v.unitid = best.unitid"""
 
 
-@query(f"SELECT * FROM ({_ranked_sql()}) r WHERE rn = 1", ("sources", "universities"))
+@query(_best_sql(), ("sources", "universities"))
 def match_sources(t):
     return match.match_sources(t.sources, t.universities)
 
 
+# --- load jobs: named yearly tables, gate, typing, union, counters and merge ------------------
+
+
+def _yearly(rows: DataFrame, name: str, raw: dict[str, str], odd: list[tuple[str, DataFrame]]):
+    """Named tables of text columns as a survey delivers them, one per year; lower-case names in even years."""
+
+    def table(year: int) -> DataFrame:
+        cells = [F.col(c).cast("string").alias(r if year % 2 else r.lower()) for r, c in raw.items()]
+        return rows.filter(F.col("report_year") == year).select(*cells, F.lit("x").alias("NOTE"))
+
+    years = sorted(r["report_year"] for r in rows.select("report_year").distinct().collect())  # one row a year
+    named = [(name.format(y), lambda y=y: table(y)) for y in years]
+    return named + [(n, lambda df=df: df) for n, df in odd]
+
+
+GR_RAW = {"UNITID": "unitid", "GRTYPE": "grtype", "GRTOTLT": "grtotlt"}
+EFFY_RAW = {"UNITID": "unitid", "EFFYALEV": "student_level", "EFYTOTLT": "total_headcount"}
+C_A_RAW = {"UNITID": "unitid", "CIPCODE": "cipcode", "AWLEVEL": "award_level", "CTOTALT": "total_completions"}
+
+
+def _gr_scan(t):
+    rows = t.survey_gradrates
+    odd = [("GR1980", rows.select("unitid", "grtype")), ("GR2000_L2", rows), ("HD2000", rows)]
+    return survey.assemble(rows.sparkSession, _yearly(rows, "GR{}", GR_RAW, odd), "GR")
+
+
+@query(
+    """, named AS (SELECT DISTINCT table_name, report_year, 'read' AS outcome FROM survey_gradrates)
+SELECT * FROM named UNION ALL VALUES ('GR1980', 1980, 'missing columns'), ('GR2000_L2', NULL, 'non-standard name'),
+  ('HD2000', NULL, 'no survey table')""",
+    ("survey_gradrates",),
+)
+def scan_outcomes(t):
+    return survey.scan_report(t.survey_gradrates.sparkSession, _gr_scan(t))
+
+
+def _load_sql(rows: str, keys: list[str], measure: str) -> str:
+    """Valid rows of known units summed by key; stored facts are those of level 1, doubled."""
+    k = ", ".join(keys)
+    return f""", valid AS (SELECT {k}, CAST(sum({measure}) AS BIGINT) AS {measure} FROM {rows}
+  WHERE unitid IN (SELECT unitid FROM universities) AND {keys[-1]} IS NOT NULL AND {measure} IS NOT NULL GROUP BY {k})
+SELECT * FROM valid"""
+
+
+def _stored_facts(rows: DataFrame, keys: list[str], measure: str, units: DataFrame) -> DataFrame:
+    """Earlier facts of the first level: the load overwrites every one of them."""
+    level = rows.filter(f"{keys[-1]} = 1 AND {measure} IS NOT NULL").join(units.select("unitid"), "unitid", "left_semi")
+    return level.groupBy(*keys).agg((F.sum(measure) * 2).alias(measure))
+
+
+@query(_load_sql("survey_gradrates", GRADRATE_KEYS_SQL := ["unitid", "report_year", "grtype"], "grtotlt"),
+       ("survey_gradrates", "universities"))
+def load_gradrates(t):
+    stored = _stored_facts(t.survey_gradrates, GRADRATE_KEYS_SQL, "grtotlt", t.universities)
+    load = loads.merge_gradrates(_gr_scan(t), t.universities, stored, on_duplicate="sum")
+    return load.facts.select(*GRADRATE_KEYS_SQL, "grtotlt")
+
+
+@query(_load_sql("survey_enrollment", ENROLLMENT_KEYS_SQL := ["unitid", "report_year", "student_level"], "total_headcount"),
+       ("survey_enrollment", "universities"))
+def load_enrollment(t):
+    rows = t.survey_enrollment
+    odd = [("EFFY_D", rows), ("EFFY1980", rows.select("unitid"))]
+    scan = survey.assemble(rows.sparkSession, _yearly(rows, "EFFY{}", EFFY_RAW, odd), "EFFY")
+    stored = _stored_facts(rows, ENROLLMENT_KEYS_SQL, "total_headcount", t.universities)
+    load = loads.merge_enrollment(scan, t.universities, stored, on_duplicate="sum")
+    return load.facts.select(*ENROLLMENT_KEYS_SQL, "total_headcount")
+
+
 # --- merges --------------------------------------------------------------------------------
 
 
@@ -513,7 +572,7 @@ def _key(c: str) -> str:
     return f"coalesce(t.{c}, s.{c})"
 
 
-UNI_COLUMNS = ("instnm", "city", "webaddr", "control")
+UNI_COLUMNS = tuple(merge.UNIVERSITY_COLUMNS)
 
 
 @query(
@@ -632,6 +691,78 @@ def merge_completions(t):
     return _code_text(merge.upsert_completions(stored, batch))
 
 
+@query(
+    "," + VALID_COMPLETIONS_SQL + """SELECT report_year, unitid, CAST(cipcode AS VARCHAR) AS cipcode, award_level,
+  total_completions FROM sums""",
+    COMPLETION_TABLES,
+)
+def load_completions(t):
+    rows = t.survey_completions
+    scan = survey.assemble(rows.sparkSession, _yearly(rows, "C{}_A", C_A_RAW, [("CUSTOM", rows)]), "C_A")
+    sums = validate.completions_batch(rows, t.universities, t.programs)
+    stored = sums.filter("award_level = 3").withColumn("total_completions", F.lit(0).cast("bigint"))
+    load = loads.merge_completions(scan, t.universities, t.programs, stored)
+    return _code_text(load.facts.select("report_year", "unitid", "cipcode", "award_level", "total_completions"))
+
+
+THEN = "2020-01-01 00:00:00"
+
+
+@query(
+    f"""SELECT coalesce(b.scraper_schema_source_id, o.scraper_schema_source_id) AS scraper_schema_source_id,
+  coalesce(b.scraper_schema_json, o.scraper_schema_json) AS scraper_schema_json,
+  CASE WHEN o.scraper_schema_source_id IS NULL THEN 'you' ELSE 'me' END AS created_by,
+  CASE WHEN o.scraper_schema_source_id IS NULL THEN '{NOW}' ELSE '{THEN}' END AS created,
+  CASE WHEN o.scraper_schema_source_id = b.scraper_schema_source_id THEN 'you' END AS updated_by,
+  CASE WHEN o.scraper_schema_source_id = b.scraper_schema_source_id THEN '{NOW}' END AS updated
+FROM scraper_schemas o FULL JOIN schema_batch b ON b.scraper_schema_source_id = o.scraper_schema_source_id""",
+    ("scraper_schemas", "schema_batch"),
+)
+def merge_schemas_stamped(t):
+    then, name = F.lit(THEN).cast("timestamp"), "scraper_schemas"
+    stored = audit.with_audit(t.scraper_schemas, name, user=F.lit("me"), now=then, row_id=F.col("scraper_schema_id"))
+    merged = merge.save_schemas(stored, t.schema_batch, audit=name, user=F.lit("you"), now=_now())
+    return merged.select(
+        "scraper_schema_source_id",
+        "scraper_schema_json",
+        F.col(f"{name}_crtd_id").alias("created_by"),
+        F.date_format(f"{name}_crtd_dt", "yyyy-MM-dd HH:mm:ss").alias("created"),
+        F.col(f"{name}_updt_id").alias("updated_by"),
+        F.date_format(f"{name}_updt_dt", "yyyy-MM-dd HH:mm:ss").alias("updated"),
+    )
+
+
+@query("SELECT unitid, instnm FROM universities", ("universities",))
+def temporary_table_unstamped(t):
+    return audit.with_audit(t.universities.select("unitid", "instnm"), "universities__dbt_tmp", user=F.lit("me"))
+
+
+@query(
+    """SELECT source_name, count(*) AS n_ids FROM (SELECT source_name FROM raw_sources WHERE source_type = 'catalog'
+  UNION ALL SELECT s_name FROM supplier) GROUP BY source_name""",
+    ("raw_sources",),
+)
+def upserted_source_ids(t):
+    merged = merge.upsert_sources(t.raw_sources, t.source_batch)
+    return merge.source_ids(merged, t.source_batch).groupBy("source_name").agg(F.count("source_id").alias("n_ids"))
+
+
+@query("SELECT cleaned_name AS source_name, 'x' AS source_type, count(*) AS n FROM sources GROUP BY ALL HAVING count(*) > 1",
+       ("sources",))
+def conflicting_sources(t):
+    return merge.source_conflicts(t.sources.select(F.col("cleaned_name").alias("source_name"), F.lit("x").alias("source_type")))
+
+
+@query(
+    """SELECT course_id, taxonomy_id, false AS hydrogen_related FROM course_taxonomy01""",
+    ("course_taxonomy01",),
+)
+def conformed_labels(t):
+    renamed = t.course_taxonomy01.select(F.col("taxonomy_id").alias("label"), "course_id", F.lit(1).alias("surplus"))
+    fitted = schemas.conform(renamed, schemas.COURSE_TAXONOMY, renames={"label": "taxonomy_id"})
+    return fitted.select("course_id", "taxonomy_id", "hydrogen_related")
+
+
 @query(
     "SELECT * FROM (" + _merge_sql(
         "courses", "course_batch",
@@ -648,6 +779,9 @@ def merge_courses(t):
     return merged.select("course_source_id", "course_title", "course_code", "course_description", "course_credits")
 
 
+KEPT_SOURCE_COLUMNS = ("source_crawl_depth", "page_timeout_s", "include_external", "url_base_exclude", "url_exclude_patterns")
+
+
 def _kept(c: str) -> str:
     return f"coalesce(s.{c}, t.{c})"
 
@@ -657,7 +791,7 @@ def _kept(c: str) -> str:
         "(SELECT * FROM raw_sources)", "source_batch", {"n": ("t.source_name", "s.source_name")},
         {"source_name": _key("source_name"),
          **{c: _new(c) for c in ("source_type", "source_base_url", "source_schema_url")},
-         **{c: _kept(c) for c in ("source_crawl_depth", "page_timeout_s")},
+         **{c: _kept(c) for c in KEPT_SOURCE_COLUMNS},
          "is_enabled": "coalesce(s.is_enabled, t.is_enabled, true)"},
     ),
     ("raw_sources", "source_batch"),
@@ -665,8 +799,7 @@ def _kept(c: str) -> str:
 def merge_sources(t):
     merged = merge.upsert_sources(t.raw_sources, t.source_batch)
     return merged.select(
-        "source_name", "source_type", "source_base_url", "source_schema_url", "source_crawl_depth",
-        "page_timeout_s", "is_enabled",
+        "source_name", "source_type", "source_base_url", "source_schema_url", *KEPT_SOURCE_COLUMNS, "is_enabled"
     )
 
 
@@ -799,7 +932,7 @@ def link_sources(t):
 def _stamps_sql(sources: str) -> str:
     return f"""SELECT u.unitid, u.instnm, m.university_distinct_id FROM universities u LEFT JOIN (
   SELECT unitid, sha256(min(cleaned_name)) AS university_distinct_id
-  FROM ({_ranked_sql(sources)}) r WHERE rn = 1 GROUP BY unitid) m ON m.unitid = u.unitid"""
+  FROM ({_best_sql(sources)}) r GROUP BY unitid) m ON m.unitid = u.unitid"""
 
 
 @query(_stamps_sql("sources"), ("sources", "universities"))
@@ -909,34 +1042,33 @@ def column_check(t):
 
 
 SNAPSHOT_SQL = """,
-details AS (SELECT t.taxonomy_id || '-' || coalesce(c.course_title, '') AS history_key, any_value(t.taxonomy_description)
-    AS taxonomy_description, min(c.course_description) AS course_description, min(s.cleaned_name) AS cleaned_name
-  FROM courses c JOIN sources s ON c.course_source_id = s.source_id
-  JOIN course_taxonomy01 ct ON c.course_id = ct.course_id JOIN taxonomy01 t ON ct.taxonomy_id = t.taxonomy_id
-  GROUP BY 1),
-old AS (SELECT history_key, taxonomy_description, lower(course_description) AS course_description, cleaned_name
-  FROM details WHERE cleaned_name LIKE '%th%'),
-pairs AS (SELECT o.history_key IS NOT NULL AS has_old, d.*, o.course_description AS old_description,
-    o.course_description IS DISTINCT FROM d.course_description AS changed
-  FROM details d LEFT JOIN old o ON o.history_key = d.history_key)
+details AS (SELECT ct.taxonomy_id || '-' || coalesce(c.course_title, '') || '-' || c.course_id AS history_key,
+    x.taxonomy_description, c.course_description, s.cleaned_name
+  FROM course_taxonomy01 ct, taxonomy01 x, courses c, sources s
+  WHERE x.taxonomy_id = ct.taxonomy_id AND c.course_id = ct.course_id AND s.source_id = c.course_source_id),
+versions AS (SELECT d.*, cleaned_name LIKE '%th%' AS stored, lower(course_description) AS before,
+  lower(course_description) IS DISTINCT FROM course_description AS changed FROM details d)
 """
 
 
 @query(
-    SNAPSHOT_SQL + f"""SELECT history_key, taxonomy_description, old_description AS course_description, cleaned_name,
-  '2025-01-01 00:00:00' AS valid_from, CASE WHEN changed THEN '{NOW}' END AS valid_to FROM pairs WHERE has_old
+    SNAPSHOT_SQL + f"""SELECT history_key, taxonomy_description, before AS course_description, cleaned_name,
+  '2025-01-01 00:00:00' AS valid_from, CASE WHEN changed THEN '{NOW}' END AS valid_to FROM versions WHERE stored
 UNION ALL SELECT history_key, taxonomy_description, course_description, cleaned_name, '{NOW}', NULL
-FROM pairs WHERE NOT has_old OR changed""",
+FROM versions WHERE NOT coalesce(stored, false) OR changed""",
     ("courses", "sources", "course_taxonomy01", "taxonomy01"),
 )
 def scd2_snapshot(t):
-    rows = history.course_snapshot_rows(marts.courses_with_taxonomy(t))
-    details = rows.groupBy("history_key").agg(
-        F.any_value("taxonomy_description").alias("taxonomy_description"),
-        F.min("course_description").alias("course_description"),
-        F.min("cleaned_name").alias("cleaned_name"),
+    # one title is taught by several schools, so the course id is part of the key
+    ids = t.courses.select("course_id", "course_source_id", "course_title", "course_description")
+    details = (
+        t.course_taxonomy01.join(t.taxonomy01, "taxonomy_id")
+        .join(ids, "course_id")
+        .join(t.sources.select(F.col("source_id").alias("course_source_id"), "cleaned_name"), "course_source_id")
     )
-    old = details.filter("cleaned_name LIKE '%th%'").withColumn("course_description", F.lower("course_description"))
-    opened = history.start_history(old, F.lit("2025-01-01 00:00:00"))
+    rows = history.course_snapshot_rows(details, ["taxonomy_id", "course_title", "course_id"])
     watched = ["taxonomy_description", "course_description", "cleaned_name"]
-    return _times_as_text(history.scd2(opened, details, "history_key", watched, _now()))
+    rows = rows.select("history_key", *watched)
+    old = rows.filter("cleaned_name LIKE '%th%'").withColumn("course_description", F.lower("course_description"))
+    opened = history.start_history(old, F.lit("2025-01-01 00:00:00"))
+    return _times_as_text(history.scd2(opened, rows, "history_key", watched, _now()))

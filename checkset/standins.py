@@ -1,8 +1,7 @@
 """Operation and survey tables derived from the generic test tables.
 
 Every statement runs unchanged in Spark SQL (session zone UTC) and DuckDB and
-reads its whole input. Conditions on rows are about meaning (a blog is no
-institution); none is there to make tables smaller.
+reads its whole input and whole texts.
 """
 
 from __future__ import annotations
@@ -49,8 +48,11 @@ SELECT CAST(min(page_id) AS INT) AS unitid,
   label AS city,
   CASE WHEN host LIKE 'm.%' THEN 'https://www.' || dom || '/about'
     WHEN host NOT LIKE 'www.%' THEN 'http://' || host END AS webaddr,
-  CAST(length(label) AS INT) AS control
-FROM page_hosts WHERE host NOT LIKE 'blog.%'
+  CAST(length(label) AS INT) AS control,
+  CAST(min(page_id) AS STRING) || ' ' || label || ' Street' AS addr, upper(substr(label, 1, 2)) AS stabbr,
+  lpad(CAST(min(page_id) AS STRING), 5, '0') AS zip, CAST(count(*) AS INT) AS sector,
+  CAST(max(page_id) % 9 AS INT) AS c18basic, min(page_id) % 2 = 0 AS hbcu, CAST(max(page_id) % 7 AS INT) AS c21szset
+FROM page_hosts
 GROUP BY label, dom, host
 """,
     "urls": """
@@ -60,7 +62,7 @@ FROM orders
 """,
     "scraper_schemas": """
 SELECT CAST(item_id AS STRING) AS scraper_schema_id, CAST(item_id AS STRING) AS scraper_schema_source_id,
-  '{"characters":' || CAST(length(text) AS STRING) || '}' AS scraper_schema_json
+  '{"characters":' || CAST(length(text) AS STRING) || ',"text":"' || text || '"}' AS scraper_schema_json
 FROM benchmark
 """,
     "courses": """
@@ -136,7 +138,9 @@ UNION ALL SELECT lang, CAST(NULL AS STRING) FROM documents
     # Batches for the merges: what is stored is above (or the first of the pair).
     "university_batch": """
 SELECT CAST(s_suppkey AS INT) AS unitid, s_name AS instnm, CAST(NULL AS STRING) AS city,
-  'https://' || lower(s_name) || '.example.org' AS webaddr, s_nationkey AS control
+  'https://' || lower(s_name) || '.example.org' AS webaddr, s_nationkey AS control,
+  s_name || ' Road' AS addr, 'XX' AS stabbr, CAST(s_suppkey AS STRING) AS zip, CAST(NULL AS INT) AS sector,
+  CAST(length(s_name) AS INT) AS c18basic, s_acctbal > 0 AS hbcu, s_nationkey AS c21szset
 FROM supplier
 """,
     "program_batch": """
@@ -154,16 +158,18 @@ FROM conversations
 """,
     "source_batch": """
 SELECT source_name, 'rescan' AS source_type, CAST(NULL AS STRING) AS source_base_url,
-  source_schema_url, CAST(NULL AS INT) AS source_crawl_depth, 60 AS page_timeout_s, CAST(NULL AS BOOLEAN) AS is_enabled
+  source_schema_url, CAST(NULL AS INT) AS source_crawl_depth, 60 AS page_timeout_s, CAST(NULL AS BOOLEAN) AS is_enabled,
+  NOT include_external AS include_external, url_base_exclude || '&more' AS url_base_exclude,
+  CAST(NULL AS STRING) AS url_exclude_patterns
 FROM raw_sources WHERE source_type = 'catalog'
 UNION ALL
 SELECT s_name, 'directory', 'https://' || s_name || '.example.org', CAST(NULL AS STRING), s_nationkey, CAST(NULL AS INT),
-  CASE WHEN s_acctbal < 0 THEN false END
+  CASE WHEN s_acctbal < 0 THEN false END, s_acctbal > 100, CAST(NULL AS STRING), s_name
 FROM supplier
 """,
     "schema_batch": """
 SELECT CAST(page_id AS STRING) AS scraper_schema_source_id,
-  '{"page":' || CAST(length(html) AS STRING) || '}' AS scraper_schema_json
+  '{"page":' || CAST(length(html) AS STRING) || ',"html":"' || html || '"}' AS scraper_schema_json
 FROM pages
 """,
     "label_batch": """

@@ -2,30 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edmart.functions.text import concat_nulls_empty
-from edmart.operators.merge import one_row_per_key
+from edmart.operators.merge import failing, repeated_key
 
 
-# Widths of the stored snapshot columns.
-SNAPSHOT_LENGTHS = {"history_key": 350, "taxonomy_id": 50, "course_title": 250, "cleaned_name": 50}
+def course_snapshot_rows(details: DataFrame, key: Sequence[str] = ("taxonomy_id", "course_title")) -> DataFrame:
+    """Rows of the course detail mart with their history key: the values of ``key``, joined by ``-``.
 
-
-def course_snapshot_rows(details: DataFrame, lengths: Mapping[str, int] | None = None) -> DataFrame:
-    """Rows of the course detail mart with their history key ``taxonomy_id-course_title``.
-
-    Texts are kept whole. ``lengths`` (such as SNAPSHOT_LENGTHS) cuts them to stored
-    widths, for a history that must equal one kept in columns of those widths.
+    The default is the stored key of the data model. Two schools with one title under one label
+    share it: add columns such as ``course_id`` to tell them apart. Texts are kept whole.
     """
-    rows = details.select(
-        concat_nulls_empty("taxonomy_id", "course_title", sep="-").alias("history_key"), *details.columns
-    )
-    cut = {c: F.substring(c, 1, n) for c, n in (lengths or {}).items() if c in rows.columns}
-    return rows.withColumns(cut) if cut else rows
+    return details.select(concat_nulls_empty(*key, sep="-").alias("history_key"), *details.columns)
 
 
 def start_history(current: DataFrame, now: Column) -> DataFrame:
@@ -40,16 +32,15 @@ def scd2(history: DataFrame, current: DataFrame, key: str, check_cols: Sequence[
 
     A changed row closes the open version and opens a new one; a new key opens a
     version; keys missing from ``current`` stay open. Keys must be unique in
-    ``current`` (the job fails otherwise). Closed versions are not shuffled, and
+    ``current`` and among the open rows (the job fails otherwise). Closed versions are not shuffled, and
     open and current rows meet in one join on the key.
     """
     now = now.cast("timestamp")
     columns = current.columns
     closed = history.filter("valid_to IS NOT NULL")
-    opened = history.filter("valid_to IS NULL").select(
-        F.col(key), F.struct(*history.columns).alias("old")
-    )
-    incoming = one_row_per_key(current, [key], "current rows").select(F.col(key), F.struct(*columns).alias("new"))
+    open_rows = history.filter("valid_to IS NULL")
+    opened = open_rows.select(F.col(key), F.struct(*history.columns).alias("old"))
+    incoming = current.select(F.col(key), F.struct(*columns).alias("new"))
     has_old, has_new = F.col("old").isNotNull(), F.col("new").isNotNull()
     same = F.lit(True)
     for c in check_cols:
@@ -68,4 +59,6 @@ def scd2(history: DataFrame, current: DataFrame, key: str, check_cols: Sequence[
         .otherwise(F.array(started))
     )
     live = opened.join(incoming, key, "full").select(F.explode(versions).alias("v")).select("v.*")
-    return closed.select(*live.columns).unionByName(live)
+    out = closed.select(*live.columns).unionByName(live)
+    problem = F.coalesce(repeated_key(current, [key], "current rows"), repeated_key(open_rows, [key], "open history"))
+    return out.unionByName(failing(current.sparkSession, problem, out))

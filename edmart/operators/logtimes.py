@@ -10,14 +10,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edmart.functions import messages as M
+from edmart.operators.joins import lookup_join
+
+
+def _newest_per_source(logs: DataFrame, *payload: str) -> DataFrame:
+    """(source_id, row): the newest log row of each source; equal times are decided by the larger log id.
+
+    The greatest time comes first, as a hash aggregate without texts. Only the rows of that
+    time are compared as structs, so no full pass over the logs is sorted.
+    """
+    key = F.col("log_source_id").alias("source_id")
+    last = logs.groupBy(key).agg(F.max("log_ts").alias("last_ts"))
+    rows = logs.select(key, F.struct("log_ts", "log_id", *payload).alias("row"))
+    at_last = lookup_join(rows, last, "source_id").filter(F.col("row.log_ts").eqNullSafe(F.col("last_ts")))
+    return at_last.groupBy("source_id").agg(F.max("row").alias("row"))
 
 
 def _newest_per_school(logs: DataFrame, sources: DataFrame, *payload: str) -> DataFrame:
-    """The newest row per cleaned name; equal times are decided by the larger log id."""
-    row = F.struct("log_ts", "log_id", *payload)
-    per_source = logs.groupBy(F.col("log_source_id").alias("source_id")).agg(F.max(row).alias("row"))
+    """The newest row per cleaned name."""
     return (
-        per_source.join(sources.select("source_id", "cleaned_name"), "source_id")
+        _newest_per_source(logs, *payload)
+        .join(sources.select("source_id", "cleaned_name"), "source_id")
         .groupBy(F.col("cleaned_name").alias("school_name"))
         .agg(F.max("row").alias("row"))
         .select("school_name", "row.*")
@@ -42,12 +55,13 @@ def latest_log(logs: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def school_log_summary(logs: DataFrame, sources: DataFrame) -> DataFrame:
-    """Both of the above in one pass: latest message and run, and the latest completion time."""
-    newest = F.struct("log_ts", "log_id", "log_message", "log_run_id")
+    """Both of the above per school: latest message and run, and the latest completion time."""
     done = M.is_scraped("log_message", case_insensitive=True)
-    per_source = logs.groupBy(F.col("log_source_id").alias("source_id")).agg(
-        F.max(newest).alias("newest"), F.max(F.when(done, F.col("log_ts"))).alias("scraped_ts")
+    scraped = logs.groupBy(F.col("log_source_id").alias("source_id")).agg(
+        F.max(F.when(done, F.col("log_ts"))).alias("scraped_ts")
     )
+    newest = _newest_per_source(logs, "log_message", "log_run_id").withColumnRenamed("row", "newest")
+    per_source = newest.join(scraped, "source_id")
     return (
         per_source.join(sources.select("source_id", "cleaned_name"), "source_id")
         .groupBy(F.col("cleaned_name").alias("school_name"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edmart import schemas
@@ -12,18 +12,23 @@ from edmart.operators.audit import audit_columns, created_values, is_audited
 from edmart.operators.joins import lookup_join
 
 
-def one_row_per_key(df: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
-    """``df`` unchanged if its keys are unique; the job fails otherwise.
+def failing(spark: SparkSession, problem: Column, shape: DataFrame) -> DataFrame:
+    """No rows in the shape of ``shape``; the job fails with ``problem`` unless that is NULL.
 
-    The check is part of the plan: copies of a key collapse map-side into a counter.
+    ``problem`` is a scalar subquery. Added to a result by a union this is the one node
+    of the plan that raises, wherever and however often the checked rows are used.
     """
-    rest = [c for c in df.columns if c not in keys]
+    stop = F.when(problem.isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(F.lit(False))
+    return spark.range(1).filter(stop).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in shape.schema])
+
+
+def repeated_key(df: DataFrame, keys: Sequence[str], what: str = "source") -> Column:
+    """A message about one key that occurs more than once, or NULL; only keys are counted, map-side first."""
     message = F.concat(
         F.lit(f"{what} has several rows for key "), F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
     )
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_copies"), *[F.first(c).alias(c) for c in rest])
-    unique = F.when(F.col("_copies") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-    return counted.filter(unique).select(*df.columns)
+    copies = df.groupBy(*keys).agg(F.count("*").alias("_copies")).filter("_copies > 1").limit(1)
+    return copies.select(message.alias("problem")).scalar()
 
 
 def merge_table(
@@ -70,7 +75,7 @@ def merge_table(
 
     any_null = F.greatest(*[F.col(k).isNull() for k in keys if k not in null_safe], F.lit(False), F.lit(False))
     matchable = source.filter(~any_null)
-    batch = one_row_per_key(matchable.select(*key_columns(), *source.columns), merge_keys)
+    batch = matchable.select(*key_columns(), *source.columns)
     changes = batch.select(
         *merge_keys,
         F.lit(True).alias("_hit"),
@@ -100,7 +105,8 @@ def merge_table(
         fresh = fresh.unionByName(source.filter(any_null))
     if order_inserts:
         fresh = fresh.sortWithinPartitions(*keys, *[c for c in fresh.columns if c not in keys])
-    return updated.unionByName(insert_rows(fresh, target, defaults, audit, user, now))
+    merged = updated.unionByName(insert_rows(fresh, target, defaults, audit, user, now))
+    return merged.unionByName(failing(target.sparkSession, repeated_key(batch, merge_keys), merged))
 
 
 def _update_stamps(target: DataFrame, audit: str | None, user: Column | None, now: Column | None) -> dict[str, Column]:
@@ -153,6 +159,7 @@ def hash_id(*columns: str) -> Column:
 # --- the merges of the data model ---------------------------------------------------------
 
 UNIVERSITY_COLUMNS = [c.name for c in schemas.UNIVERSITIES.columns[1:12]]
+# Columns of a source that a new batch overwrites, and those it fills in.
 SOURCE_OVERWRITTEN = ["source_type", "source_base_url", "source_schema_url"]
 SOURCE_KEPT = [
     "source_crawl_depth", "include_external", "page_timeout_s", "max_concurrency",
@@ -249,7 +256,8 @@ def save_course_taxonomy(target: DataFrame, data: DataFrame, **options) -> DataF
     """Insert absent labels; stored ones are neither changed nor removed."""
     options["defaults"] = {"hydrogen_related": F.lit(False), **options.get("defaults", {})}
     key = ["course_id", "taxonomy_id"]
-    labels = one_row_per_key(data.select(*key), key, "label batch")
+    labels = data.select(*key)
     known = target.select(*key).join(labels, key, "left_semi").distinct()
     fresh = labels.join(known, key, "left_anti")
-    return target.unionByName(insert_rows(fresh, target, **options))
+    merged = target.unionByName(insert_rows(fresh, target, **options))
+    return merged.unionByName(failing(target.sparkSession, repeated_key(labels, key, "label batch"), merged))

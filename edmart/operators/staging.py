@@ -51,14 +51,11 @@ def target_urls(urls: DataFrame, sources: DataFrame, source_id: str | None = Non
     return rows.select("url_source_id", "url_link")
 
 
-def course_data(
-    courses: DataFrame, sources: DataFrame, source_id: str | None = None, limit: int | None = None
-) -> DataFrame:
-    """Courses of one source, or of every source; ``limit`` gives the first by course id."""
-    rows = _of_sources(courses, "course_source_id", sources, source_id).select(
+def course_data(courses: DataFrame, sources: DataFrame, source_id: str | None = None) -> DataFrame:
+    """Courses of one source, or of every source."""
+    return _of_sources(courses, "course_source_id", sources, source_id).select(
         "course_id", "course_code", "course_title", "course_description", "course_credits"
     )
-    return rows if limit is None else rows.orderBy("course_id").limit(limit)
 
 
 def stg_courses(courses: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Yearly survey loads: scan, validate, merge; all-or-nothing.
+"""Yearly survey loads: scan, validate, merge. Nothing is written before the whole batch is valid.
 
 The validated batch is far smaller than the survey rows and is read several times
 by the merge, so it is stored once where the session has a checkpoint folder.
@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edmart import schemas
@@ -32,7 +32,10 @@ def load_gradrates(
     spark: SparkSession, directory: str, universities: DataFrame, target: DataFrame,
     on_duplicate: str = "error", **scan_options,
 ) -> Load:
-    scan = scan_survey(spark, directory, "GR", **scan_options)
+    return merge_gradrates(scan_survey(spark, directory, "GR", **scan_options), universities, target, on_duplicate)
+
+
+def merge_gradrates(scan: SurveyScan, universities: DataFrame, target: DataFrame, on_duplicate: str = "error") -> Load:
     rows = validate.valid_gradrates(scan.rows, universities)
     batch = cut(validate.combine_duplicates(rows, ["report_year", "unitid", "grtype"], "grtotlt", on_duplicate))
     report = validate.measures_report(scan.rows, universities, ["grtype", "grtotlt"])
@@ -43,7 +46,10 @@ def load_enrollment(
     spark: SparkSession, directory: str, universities: DataFrame, target: DataFrame,
     on_duplicate: str = "error", **scan_options,
 ) -> Load:
-    scan = scan_survey(spark, directory, "EFFY", **scan_options)
+    return merge_enrollment(scan_survey(spark, directory, "EFFY", **scan_options), universities, target, on_duplicate)
+
+
+def merge_enrollment(scan: SurveyScan, universities: DataFrame, target: DataFrame, on_duplicate: str = "error") -> Load:
     rows = validate.valid_enrollment(scan.rows, universities)
     keys = ["report_year", "unitid", "student_level"]
     batch = cut(validate.combine_duplicates(rows, keys, "total_headcount", on_duplicate))
@@ -56,12 +62,28 @@ def load_completions(
     **scan_options,
 ) -> Load:
     """Duplicate keys are always summed here."""
-    scan = scan_survey(spark, directory, "C_A", **scan_options)
+    return merge_completions(scan_survey(spark, directory, "C_A", **scan_options), universities, programs, target)
+
+
+def merge_completions(scan: SurveyScan, universities: DataFrame, programs: DataFrame, target: DataFrame) -> Load:
     batch = cut(validate.completions_batch(scan.rows, universities, programs))
     report = validate.completions_report(scan.rows, universities, programs)
     return Load(merge.upsert_completions(target, batch), batch, report, scan)
 
 
+def fact_id(table: schemas.Table) -> Column:
+    """A fact's id from its natural key: the same on every run, and no stored id has to be read."""
+    return F.xxhash64(*[F.col(c).cast(table.struct[c].dataType) for c in table.merge_key])
+
+
+def unlisted_year(batch: DataFrame, years: Sequence[int]) -> Column:
+    """A message about a batch row of another report year, or of none; NULL if there is none."""
+    listed = F.coalesce(F.col("report_year").isin(*years), F.lit(False)) if years else F.lit(False)
+    year = F.coalesce(F.col("report_year").cast("string"), F.lit("NULL"))
+    message = F.concat(F.lit("batch row of an unlisted report year: "), year)
+    return batch.filter(~listed).limit(1).select(message.alias("problem")).scalar()
+
+
 def upsert_years(
     spark: SparkSession,
     path: str,
@@ -75,13 +97,16 @@ def upsert_years(
 
     The year is part of every fact key, so other years cannot match: their
     partitions are neither scanned (partition pruning) nor written (dynamic
-    overwrite). ``years`` comes from the survey table names.
+    overwrite). ``years`` comes from the survey table names; a batch row of any other
+    year fails the job before anything is written. Partitions are replaced one after the other at
+    commit: a driver that dies then leaves some years new and some old, and the load
+    has to run again, which gives the same rows and ids.
     """
     stored = spark.read.schema(table.struct).parquet(path)
-    id_column = table.primary_key[0]
     touched = stored.filter(F.col("report_year").isin(*years))
-    defaults = {id_column: merge.next_id(stored, id_column)}
-    merged = upsert(touched, batch.filter(F.col("report_year").isin(*years)), defaults=defaults, **options)
+    defaults = {table.primary_key[0]: fact_id(table)}
+    merged = upsert(touched, batch, defaults=defaults, **options)
+    merged = merged.unionByName(merge.failing(spark, unlisted_year(batch, years), merged))
     (
         by_partition(merged, table)
         .write.mode("overwrite")

@@ -13,9 +13,6 @@ from edmart.operators.lineage import cut
 from edmart.operators.logtimes import school_log_summary, scrape_times
 from edmart.sources.tables import Tables
 
-# Slots-left rows of one (source, run) are spread over this many join keys.
-SLOT_SALTS = 16
-
 
 def summary_status(course_count: Column, last_scrape_ts: Column, url_count: Column, schema_count: Column) -> Column:
     """Progress of a school; the first condition that holds wins."""
@@ -108,26 +105,19 @@ def _with_end_log(spine: DataFrame, logs: DataFrame) -> DataFrame:
 def _with_slots_log(rows: DataFrame, logs: DataFrame) -> DataFrame:
     """Add every slots-left message of the end log's run and source, or NULL without one.
 
-    ``slots_rows`` already tells which rows have a partner, so their keys can be
-    salted: each salted copy meets a share of the messages, and copies that meet
-    none are dropped because another copy is known to meet some.
+    ``slots_rows`` already tells which rows have a partner. Those meet the messages in an
+    inner join, where a hot (source, run) is split on either side; the rest get NULLs.
     """
-    expects = F.col("end_message").isNotNull() & (F.col("slots_rows") > 0)
-    salts = F.when(F.col("expects"), F.sequence(F.lit(0), F.lit(SLOT_SALTS - 1))).otherwise(F.array(F.lit(-1)))
+    expects = F.coalesce(F.col("end_message").isNotNull() & (F.col("slots_rows") > 0), F.lit(False))
     slots = logs.filter(M.is_slots("log_message")).select(
         F.col("log_source_id").alias("source_id"),
         F.col("log_run_id").alias("max_run_id"),
-        F.pmod(F.xxhash64("log_id"), F.lit(SLOT_SALTS)).cast("int").alias("salt"),
         F.col("log_ts").alias("slots_ts"),
         F.col("log_message").alias("slots_message"),
     )
-    return (
-        rows.withColumn("expects", expects)
-        .withColumn("salt", F.explode(salts))
-        .join(slots, ["source_id", "max_run_id", "salt"], "left")
-        .filter(~F.col("expects") | F.col("slots_message").isNotNull())
-        .drop("expects", "salt")
-    )
+    met = rows.filter(expects).join(slots, ["source_id", "max_run_id"])
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in slots.schema if f.name.startswith("slots_")]
+    return met.unionByName(rows.filter(~expects).select("*", *none))
 
 
 def _performance(t: Tables, fallback: bool, stage: bool) -> DataFrame:
@@ -201,11 +191,10 @@ def courses_with_taxonomy(t: Tables) -> DataFrame:
         t.taxonomy01.select("taxonomy_id", "taxonomy_description"),
         "taxonomy_id",
     )
-    courses = t.courses.select(
-        "course_id", F.col("course_source_id").alias("source_id"), "course_title", "course_description"
-    )
-    return (
-        courses.join(labels, "course_id")
-        .transform(lookup_join, t.sources.select("source_id", "cleaned_name"), "source_id")
-        .select("taxonomy_id", "taxonomy_description", "course_title", "course_description", "cleaned_name")
+    owners = t.courses.select("course_id", F.col("course_source_id").alias("source_id"))
+    named = lookup_join(owners, t.sources.select("source_id", "cleaned_name"), "source_id").drop("source_id")
+    thin = labels.join(named, "course_id")
+    texts = t.courses.select("course_id", "course_title", "course_description")
+    return texts.join(thin, "course_id").select(
+        "taxonomy_id", "taxonomy_description", "course_title", "course_description", "cleaned_name"
     )

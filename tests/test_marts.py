@@ -174,7 +174,6 @@ def test_courses_with_taxonomy(frame, tables):
 def test_point_reads(frame, tables):
     courses = tables.courses.withColumns({"course_code": F.lit("x"), "course_credits": F.lit("3")})
     assert rows(staging.course_data(courses, tables.sources, "1"), "course_id") == [("c1",), ("c3",), ("c4",)]
-    assert rows(staging.course_data(courses, tables.sources, limit=2), "course_id") == [("c1",), ("c2",)]
     urls = tables.urls.withColumns({"is_target": F.col("url_id") != "u2", "url_link": F.col("url_id")})
     assert rows(staging.target_urls(urls, tables.sources), "url_link") == [("u1",), ("u3",)]
     assert rows(staging.target_urls(urls, tables.sources, "4"), "url_link") == [("u3",)]

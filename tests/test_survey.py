@@ -66,6 +66,23 @@ def test_completions_scan_does_not_report_other_names(spark, folder):
     assert {t[0] for t in survey.scan_survey(spark, folder, "C_A").tables} == {"C2021_A", "C2022_A"}
 
 
+def test_files_of_any_name_and_partition_folders(spark, tmp_path):
+    schema = "UNITID int, GRTYPE int, GRTOTLT int"
+    one = lambda n: spark.createDataFrame([(n, 2, n)], schema).coalesce(1)
+    one(1).write.parquet(f"{tmp_path}/raw/t1")
+    part = next((tmp_path / "raw" / "t1").glob("part-*.parquet"))
+    for place in ("GR2020/data_0.parquet", "GR2021/x.PARQUET", "GR2024.Parquet", "GRTYPES/GR2025/a/b.parquet", "misc/notes.parquet"):
+        (tmp_path / "in" / place).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / place).write_bytes(part.read_bytes())
+    one(3).write.partitionBy("GRTYPE").parquet(f"{tmp_path}/in/GR2022")
+    scan = survey.scan_survey(spark, str(tmp_path / "in"), "GR")
+    assert rows(scan.rows, "report_year", "unitid", "grtype", "grtotlt") == [
+        (2020, 1, 2, 1), (2021, 1, 2, 1), (2022, 3, 2, 3), (2024, 1, 2, 1), (2025, 1, 2, 1),
+    ]
+    assert ("notes", None, survey.NO_SURVEY) in scan.tables
+    assert survey.scan_survey(spark, f"file://{tmp_path}/in", "GR").years == [2020, 2021, 2022, 2024, 2025]
+
+
 def test_year_filter_prunes_tables_and_columns(spark, folder):
     df = survey.scan_survey(spark, folder, "GR").rows.filter("report_year = 2022").select("unitid")
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -128,6 +145,16 @@ def test_early_sums_equal_sums_of_valid_rows(spark, folder, units, programs):
     assert rows(late) == rows(validate.completions_batch(raw, units, programs))
 
 
+@pytest.mark.parametrize("year", [2020, None])
+def test_upsert_years_fails_on_a_row_of_another_year(spark, frame, tmp_path, year):
+    path = str(tmp_path / "facts")
+    schema = schemas.ENROLLMENT.struct
+    spark.createDataFrame([], schema).write.partitionBy(*schemas.ENROLLMENT.partition_by).parquet(path)
+    batch = frame([(2021, 1, 1, 5), (year, 1, 1, 6)], "report_year int, unitid int, student_level smallint, total_headcount int")
+    with pytest.raises(PySparkException, match="unlisted report year"):
+        loads.upsert_years(spark, path, schemas.ENROLLMENT, merge.upsert_enrollment, batch, [2021])
+
+
 def test_upsert_years_rewrites_only_touched_partitions(spark, frame, tmp_path):
     path = str(tmp_path / "facts")
     schema = schemas.ENROLLMENT.struct
@@ -162,6 +189,23 @@ def test_load_with_a_checkpoint_folder(spark, folder, units, programs, frame, tm
     assert rows(load.facts.drop("completion_id")) == rows(plain.facts.drop("completion_id"))
 
 
+def test_files_of_any_name_and_partition_folders(spark, tmp_path):
+    schema = "UNITID int, GRTYPE int, GRTOTLT int"
+    one = lambda n: spark.createDataFrame([(n, 2, n)], schema).coalesce(1)
+    one(1).write.parquet(f"{tmp_path}/raw/t1")
+    part = next((tmp_path / "raw" / "t1").glob("part-*.parquet"))
+    for place in ("GR2020/data_0.parquet", "GR2021/x.PARQUET", "GR2024.Parquet", "GRTYPES/GR2025/a/b.parquet", "misc/notes.parquet"):
+        (tmp_path / "in" / place).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / place).write_bytes(part.read_bytes())
+    one(3).write.partitionBy("GRTYPE").parquet(f"{tmp_path}/in/GR2022")
+    scan = survey.scan_survey(spark, str(tmp_path / "in"), "GR")
+    assert rows(scan.rows, "report_year", "unitid", "grtype", "grtotlt") == [
+        (2020, 1, 2, 1), (2021, 1, 2, 1), (2022, 3, 2, 3), (2024, 1, 2, 1), (2025, 1, 2, 1),
+    ]
+    assert ("notes", None, survey.NO_SURVEY) in scan.tables
+    assert survey.scan_survey(spark, f"file://{tmp_path}/in", "GR").years == [2020, 2021, 2022, 2024, 2025]
+
+
 def test_year_filter_prunes_fact_partitions(spark, frame, tmp_path):
     path = str(tmp_path / "facts")
     tables.save_table(frame([(1, 2020, 1, 1, 5), (2, 2021, 1, 1, 6)], schemas.ENROLLMENT.struct), path, "enrollment_fact")
