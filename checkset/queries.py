@@ -16,8 +16,9 @@ from edmart import schemas
 from edmart.functions import cip, messages, times
 from edmart.operators import audit, checks, counts, history, logtimes, match, merge, repair, staging, validate
 from edmart.plans import linking, loads, marts
+from edmart.plans.views import register_views
 from edmart.sources import survey
-from edmart.sources.tables import Tables
+from edmart.sources.tables import Tables, load_seed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -988,6 +989,53 @@ def cascade_delete(t):
     )
 
 
+@query(
+    """SELECT course_id, taxonomy_id FROM course_taxonomy01
+WHERE course_id NOT IN (SELECT course_id FROM courses WHERE course_code IS NULL)""",
+    ("courses", "course_taxonomy01"),
+)
+def cascade_labels(t):
+    tables = {"courses": t.courses, "course_taxonomy01": t.course_taxonomy01}
+    return repair.delete_cascade(tables, "courses", t.courses.filter("course_code IS NULL"))["course_taxonomy01"]
+
+
+@query(
+    """SELECT t.taxonomy_id, t.taxonomy_description, c.course_title, c.course_description, s.cleaned_name
+FROM course_taxonomy01 ct, taxonomy01 t, courses c, sources s
+WHERE t.taxonomy_id = ct.taxonomy_id AND c.course_id = ct.course_id AND s.source_id = c.course_source_id""",
+    ("courses", "sources", "course_taxonomy01", "taxonomy01"),
+)
+def view_of_course_details(t):
+    (name,) = register_views(t, ["dim_courses_with_details"])
+    return t.courses.sparkSession.table(name)
+
+
+@query(
+    """SELECT DISTINCT CAST(log_stage AS SMALLINT) AS stage_id, 'seen' AS stage_name FROM logs
+UNION ALL SELECT CAST(i AS SMALLINT), n
+FROM (VALUES (0, 'crawl'), (1, 'schema'), (2, 'scrape'), (3, 'storage'), (4, 'classify')) v(i, n)
+WHERE i NOT IN (SELECT log_stage FROM logs)""",
+    ("logs",),
+)
+def log_stage_seed(t):
+    seen = t.logs.select(F.col("log_stage").cast("smallint").alias("stage_id"), F.lit("seen").alias("stage_name"))
+    return load_seed(t.logs.sparkSession, "log_stages", into=seen.distinct())
+
+
+def load_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored tables by name, as views: rows per nation and region."""
+    Tables.load(spark, sf_dir, ("nation", "region", "customer"), views=True, suffix=".parquet")
+    return spark.sql(
+        """SELECT r_name, n_name, count(c_custkey) AS n_customers FROM region JOIN nation ON n_regionkey = r_regionkey
+LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY r_name, n_name"""
+    )
+
+
+QUERIES["load_tables"] = load_tables
+ORACLES["load_tables"] = """SELECT r_name, n_name, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS n_customers
+FROM nation, region WHERE r_regionkey = n_regionkey"""
+
+
 @query(
     """SELECT 'courses' AS table_name, course_source_id AS id, count(*) AS n FROM courses
 WHERE course_source_id IN (SELECT source_id FROM sources WHERE NOT is_enabled) GROUP BY course_source_id
