@@ -63,7 +63,9 @@ def window_hashes(tokens: Column, width: int) -> Column:
 
 def slots(tokens: Column, texts: Column) -> Column:
     """(at, value) of the placeholders."""
-    marked = F.transform(tokens, lambda t, i: F.named_struct(F.lit("at"), i, F.lit("value"), F.get(texts, i), F.lit("kind"), t))
+    marked = F.transform(
+        tokens, lambda t, i: F.named_struct(F.lit("at"), i, F.lit("value"), F.get(texts, i), F.lit("kind"), t)
+    )
     return F.transform(
         F.filter(marked, lambda m: m["kind"].isin(NUMBER, NAME, UNIT)),
         lambda m: F.named_struct(F.lit("at"), m["at"], F.lit("value"), m["value"]),
@@ -88,7 +90,8 @@ def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     for n in range(1, width + 1):
         own = F.xxhash64(*[F.get("tokens", F.col("at") + k) for k in range(n)])
         hashed = F.when(F.col("width") == n, own).otherwise(hashed)
-    each = each.select(hashed.alias("hash"), "item_id", "at", "width", "item_slots").dropDuplicates(["hash", "item_id", "at"])
+    each = each.select(hashed.alias("hash"), "item_id", "at", "width", "item_slots")
+    each = each.dropDuplicates(["hash", "item_id", "at"])
     counts = each.groupBy("item_id").agg(F.count("*").alias("n_windows"))
     return each.join(counts, "item_id")
 
@@ -104,15 +107,18 @@ def flags_of(windows: DataFrame, flags: int) -> DataFrame:
     return full.agg(F.transform(pairs, lambda p: p["set"]).alias("flags"))
 
 
-def matches(docs: DataFrame, windows: DataFrame, flags: int = FLAGS, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+def matches(
+    docs: DataFrame, windows: DataFrame, flags: int = FLAGS, broadcast_windows: int = BROADCAST_WINDOWS
+) -> DataFrame:
     """(doc_id, row_hash, item_id, n_windows, shift, at, doc_slots, item_slots) of each matching window."""
     known = windows.agg(F.count("*").alias("n"), F.collect_set("width").alias("widths")).first()
+    known_flags = flags_of(windows, flags).scalar() if known["n"] else F.lit(None).cast("array<boolean>")
     rows = docs.select(
         "doc_id",
         F.xxhash64("text").alias("row_hash"),
         template(F.col("text")).alias("tokens"),
         values(F.col("text")).alias("texts"),
-        F.lit(None).cast("array<boolean>").alias("flags") if not known["n"] else flags_of(windows, flags).scalar().alias("flags"),
+        known_flags.alias("flags"),
     )
 
     def hits(width: int):
@@ -135,13 +141,23 @@ def matches(docs: DataFrame, windows: DataFrame, flags: int = FLAGS, broadcast_w
         found.alias("hits"),
     )
     each = each.select("doc_id", "row_hash", "slots", F.explode_outer("hits").alias("hit")).filter("hit IS NOT NULL")
-    each = each.select("doc_id", "row_hash", "slots", F.col("hit.hash").alias("hash"), F.col("hit.at").alias("doc_at"), F.col("hit.width").alias("width"))
+    each = each.select(
+        "doc_id",
+        "row_hash",
+        "slots",
+        F.col("hit.hash").alias("hash"),
+        F.col("hit.at").alias("doc_at"),
+        F.col("hit.width").alias("width"),
+    )
     side = F.broadcast(windows) if known["n"] <= broadcast_windows else windows.hint("merge")
 
     def inside(column: str, at: str) -> Column:
         """The slots within the matched window, by their place in the item."""
         own = F.filter(column, lambda s: (s["at"] >= F.col(at)) & (s["at"] < F.col(at) + F.col("width")))
-        return F.transform(own, lambda s: F.named_struct(F.lit("at"), s["at"] - F.col(at) + F.col("at"), F.lit("value"), s["value"]))
+        return F.transform(
+            own,
+            lambda s: F.named_struct(F.lit("at"), s["at"] - F.col(at) + F.col("at"), F.lit("value"), s["value"]),
+        )
 
     joined = each.join(side, ["hash", "width"])
     return joined.select(
@@ -183,11 +199,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         aligned.filter(one_to_one)
         .select("doc_id", "row_hash", "item_id", "n_windows", "at", changed.alias("changed"))
         .groupBy("doc_id", "row_hash", "item_id", "n_windows")
-        .agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_matched"), F.sum("changed").alias("changed_slots"))
+        .agg(
+            F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_matched"),
+            F.sum("changed").alias("changed_slots"),
+        )
     )
     share = F.col("n_matched") / F.col("n_windows")
     return per_item.filter(share >= coverage).select(
-        "doc_id", "row_hash", "item_id", F.col("n_matched").cast("long"), share.alias("coverage"), F.col("changed_slots").cast("long")
+        "doc_id",
+        "row_hash",
+        "item_id",
+        F.col("n_matched").cast("long"),
+        share.alias("coverage"),
+        F.col("changed_slots").cast("long"),
     )
 
 

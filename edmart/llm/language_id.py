@@ -186,7 +186,8 @@ def classify(net: Network, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray,
     pooled = np.zeros((len(texts), len(net.languages)))
     votes = np.zeros_like(pooled)
     for i in range(0, x.shape[1], LANES):
-        xs, ms, own = np.ascontiguousarray(x[:, i : i + LANES]), np.ascontiguousarray(mask[:, i : i + LANES]), owner[i : i + LANES]
+        lanes = slice(i, i + LANES)
+        xs, ms, own = np.ascontiguousarray(x[:, lanes]), np.ascontiguousarray(mask[:, lanes]), owner[lanes]
         p = probabilities(net, xs, ms)
         top = p.max(axis=0)
         np.add.at(pooled, own, (p * ms).sum(axis=1).T)

@@ -113,7 +113,8 @@ def assign_shards(
         before += n
     offset = F.lit(0)
     if offsets:
-        offset = F.element_at(F.create_map(*[F.lit(v).cast("long") for pair in offsets for v in pair]), F.col("_part").cast("long"))
+        by_part = F.create_map(*[F.lit(v).cast("long") for pair in offsets for v in pair])
+        offset = F.element_at(by_part, F.col("_part").cast("long"))
     in_part = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
     base, more = divmod(total, shards)
     rank, wide = F.col("_rank"), more * (base + 1)  # the first ``more`` shards have one row more

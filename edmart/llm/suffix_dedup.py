@@ -212,7 +212,9 @@ def repeated_spans(
     cut = F.transform(
         "own",
         lambda p: F.struct(
-            p["key"].alias("key"), p["content"].alias("content"), F.substring(octets, p["start"] + 1, p["size"]).alias("data")
+            p["key"].alias("key"),
+            p["content"].alias("content"),
+            F.substring(octets, p["start"] + 1, p["size"]).alias("data"),
         ),
     )
     candidates = rows.join(per_text, ["d1", "d2"]).select(F.explode(cut).alias("p")).select("p.*")
@@ -229,8 +231,10 @@ def repeated_spans(
         .groupBy("key", "content")
         .agg(F.collect_list(F.struct("s", "e")).alias("own"))  # at most one per byte of the piece
     )
-    partial = lookup_join(mixed, per_content, ["key", "content"]).select("d1", "d2", "start", F.explode("own").alias("o"))
-    partial = partial.select("d1", "d2", F.struct((F.col("start") + F.col("o.s")).alias("s"), (F.col("start") + F.col("o.e")).alias("e")).alias("span"))
+    partial = lookup_join(mixed, per_content, ["key", "content"])
+    partial = partial.select("d1", "d2", "start", F.explode("own").alias("o"))
+    moved = F.struct((F.col("start") + F.col("o.s")).alias("s"), (F.col("start") + F.col("o.e")).alias("e"))
+    partial = partial.select("d1", "d2", moved.alias("span"))
     equal = hits.filter("NOT mixed").select(
         "d1", "d2", F.struct(F.col("start").alias("s"), (F.col("start") + F.col("size")).alias("e")).alias("span")
     )

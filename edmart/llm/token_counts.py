@@ -24,10 +24,14 @@ CACHE_PIECES = 1_000_000
 _NO_RANK = np.int32(np.iinfo(np.int32).max)
 
 # Pre-token pattern of the vocabulary. Fixed value.
-PRE_TOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+PRE_TOKEN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
+    r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+)
 _PIECE = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
 # White space beyond ASCII: such texts are cut by the pattern alone.
-_OTHER_SPACE = re.compile("[" + "".join(map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
+_OTHER_SPACES = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_OTHER_SPACE = re.compile("[" + "".join(map(chr, _OTHER_SPACES)) + "]")
 
 
 @dataclass

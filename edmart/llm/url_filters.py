@@ -87,9 +87,9 @@ def segmented(hosts: DataFrame, counts: DataFrame, longest: int = LONGEST_WORD)
     labels = host_labels(hosts)
     names = labels.select("name").distinct()
     starts = F.sequence(F.lit(1), F.length("name"))
-    parts = names.select("name", F.explode(starts).alias("start")).select(
-        "name", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("name") - F.col("start") + 1))).alias("len")
-    )
+    lengths = F.sequence(F.lit(1), F.least(F.lit(longest), F.length("name") - F.col("start") + 1))
+    parts = names.select("name", F.explode(starts).alias("start"))
+    parts = parts.select("name", "start", F.explode(lengths).alias("len"))
     parts = parts.withColumn("word", F.expr("substring(name, start, len)"))
     # each distinct substring meets the vocabulary once
     seen = parts.select("word").distinct().join(counts, "word")
@@ -113,7 +113,8 @@ def segmented(hosts: DataFrame, counts: DataFrame, longest: int = LONGEST_WORD)
     per_host = (
         labels.join(words, "name")
         .groupBy("host")
-        .agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "words"))), lambda p: p["words"])).alias("host_tokens"))
+        .agg(F.array_sort(F.collect_list(F.struct("at", "words"))).alias("parts"))
+        .select("host", F.flatten(F.transform("parts", lambda p: p["words"])).alias("host_tokens"))
     )
     return hosts.join(per_host, "host", "left").withColumn("host_tokens", F.coalesce("host_tokens", F.array()))
 
@@ -149,7 +150,8 @@ def token_weights(examples: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     )
     odds = F.transform(
         "cells",
-        lambda c: F.ln((c["bad"] + 1) / (F.col("all_bad") + buckets)) - F.ln((c["good"] + 1) / (F.col("all_good") + buckets)),
+        lambda c: F.ln((c["bad"] + 1) / (F.col("all_bad") + buckets))
+        - F.ln((c["good"] + 1) / (F.col("all_good") + buckets)),
     )
     row = classes.first()
     both = row["bad"] and row["good"]
