@@ -29,18 +29,25 @@ BLOCK = 512
 _CHUNK = 1 << 16
 
 
-def fingerprint(text: str | None) -> int:
-    """The 64-bit SimHash of a whole text; 0 for a text without words."""
+def shingle_hashes(text: str | None, width: int) -> np.ndarray:
+    """64-bit hash of each run of ``width`` words, of all words where there are fewer; none without words."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and six spaces only
     if not tokens:
-        return 0
-    width = min(SHINGLE, len(tokens))
+        return np.empty(0, dtype="<u8")
+    width = min(width, len(tokens))
     line = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     spans = zip(starts[: len(tokens) - width + 1].tolist(), ends[width - 1 :].tolist())
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], SEED) for a, b in spans], dtype="<u8")
+    return np.array([digest(line[a:b], SEED) for a, b in spans], dtype="<u8")
+
+
+def fingerprint(text: str | None) -> int:
+    """The 64-bit SimHash of a whole text; 0 for a text without words."""
+    hashes = shingle_hashes(text, SHINGLE)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, dtype=np.int64)
     for i in range(0, len(hashes), _CHUNK):
         part = hashes[i : i + _CHUNK]
@@ -182,20 +189,24 @@ def near_duplicates(docs: DataFrame, segments: int = SEGMENTS, difference: int =
     return _grouped(docs, segments, difference).select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, segments: int = SEGMENTS, difference: int = MAX_DIFFERENCE) -> DataFrame:
-    """One row of ``docs`` per component: that of the smallest doc_id, columns unchanged.
-
-    Of rows that share this doc_id the one with the smallest text hash stays, once. A
-    component without any doc_id keeps one row as well.
-    """
+def keep_smallest(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """One row of ``docs`` per ``root`` of ``grouped`` (doc_id, text_hash, root): that of the smallest doc_id."""
     h, k_id, k_hash = free_names(docs, "_text_hash", "_k_id", "_k_hash")
     first = F.min_by(F.struct("doc_id", "text_hash"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
     kept = (
-        _grouped(docs, segments, difference)
-        .groupBy("root")
+        grouped.groupBy("root")
         .agg(first.alias("k"))
         .select(F.col("k.doc_id").alias(k_id), F.col("k.text_hash").alias(k_hash))
     )
     rows = docs.withColumn(h, F.xxhash64("text"))
     rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col(k_id)) & (F.col(h) == F.col(k_hash)), "left_semi")
     return rows.dropDuplicates(["doc_id", h]).select(*docs.columns)
+
+
+def keep_one(docs: DataFrame, segments: int = SEGMENTS, difference: int = MAX_DIFFERENCE) -> DataFrame:
+    """One row of ``docs`` per component: that of the smallest doc_id, columns unchanged.
+
+    Of rows that share this doc_id the one with the smallest text hash stays, once. A
+    component without any doc_id keeps one row as well.
+    """
+    return keep_smallest(docs, _grouped(docs, segments, difference))
