@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from edmart.llm.shared import free_names, let, stored
 
 WINDOW = 8
-LEAST_LITERAL = 4  # a window of mostly placeholders says nothing
+LEAST_LITERAL = 4  # a template of mostly placeholders says nothing; such a window is known by its values
 COVERAGE = 0.5
+RUN = 13  # so many consecutive tokens of an item are a leak, whatever share of it they are
 FLAGS = 1 << 14
 BROADCAST_WINDOWS = 200_000  # about 10 MB; larger benchmarks are merged
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
@@ -73,10 +74,11 @@ def slots(tokens: Column, texts: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """(hash, item_id, at, width, n_windows, item_slots) of each item; shorter items are one window.
+    """(hash, item_id, at, width, by_value, n_windows, n_templates, item_slots) of each item.
 
-    Windows of fewer than half as many literal tokens as the rule asks are left out, and count for
-    nothing. Items without text, and repeated items, add nothing.
+    An item shorter than ``width`` is one window. The hash is that of the template. Windows of fewer literal tokens than the rule asks have the hash of
+    their values instead (``by_value``), so every item with text can be found; ``n_templates`` counts the
+    others. Items without text, and repeated items, add nothing.
     """
     tokens = benchmark.select("item_id", template(F.col("text")).alias("tokens"), values(F.col("text")).alias("texts"))
     tokens = tokens.filter(F.size("tokens") > 0).withColumn("width", F.least(F.lit(width), F.size("tokens")))
@@ -85,14 +87,18 @@ def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     each = tokens.select("*", F.explode(starts).alias("at"))
     part = F.slice("tokens", F.col("at") + 1, F.col("width"))
     literal = F.size(F.filter(part, lambda t: ~t.isin(NUMBER, NAME, UNIT)))
-    each = each.filter(literal >= F.least(F.lit(LEAST_LITERAL), F.ceil(F.col("width") / 2)))
+    each = each.withColumn("by_value", literal < F.least(F.lit(LEAST_LITERAL), F.ceil(F.col("width") / 2)))
     hashed = F.lit(None).cast("long")
     for n in range(1, width + 1):
-        own = F.xxhash64(*[F.get("tokens", F.col("at") + k) for k in range(n)])
+        by_template = F.xxhash64(*[F.get("tokens", F.col("at") + k) for k in range(n)])
+        by_value = F.xxhash64(*[F.get("texts", F.col("at") + k) for k in range(n)])
+        own = F.when(F.col("by_value"), by_value).otherwise(by_template)
         hashed = F.when(F.col("width") == n, own).otherwise(hashed)
-    each = each.select(hashed.alias("hash"), "item_id", "at", "width", "item_slots")
+    each = each.select(hashed.alias("hash"), "item_id", "at", "width", "by_value", "item_slots")
     each = each.dropDuplicates(["hash", "item_id", "at"])
-    counts = each.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    counts = each.groupBy("item_id").agg(
+        F.count("*").alias("n_windows"), F.count_if(~F.col("by_value")).alias("n_templates")
+    )
     return each.join(counts, "item_id")
 
 
@@ -110,8 +116,8 @@ def flags_of(windows: DataFrame, flags: int) -> DataFrame:
 def matches(
     docs: DataFrame, windows: DataFrame, flags: int = FLAGS, broadcast_windows: int = BROADCAST_WINDOWS
 ) -> DataFrame:
-    """(doc_id, row_hash, item_id, n_windows, shift, at, doc_slots, item_slots) of each matching window."""
-    known = windows.agg(F.count("*").alias("n"), F.collect_set("width").alias("widths")).first()
+    """(doc_id, row_hash, item_id, n_windows, n_templates, shift, at, by_value, doc_slots, item_slots) of each match."""
+    known = windows.agg(F.count("*").alias("n"), F.collect_set(F.struct("width", "by_value")).alias("kinds")).first()
     known_flags = flags_of(windows, flags).scalar() if known["n"] else F.lit(None).cast("array<boolean>")
     rows = docs.select(
         "doc_id",
@@ -121,18 +127,21 @@ def matches(
         known_flags.alias("flags"),
     )
 
-    def hits(width: int):
+    def hits(width: int, by_value: bool):
         def of(tokens: Column) -> Column:
             marked = F.transform(
                 window_hashes(tokens, width),
-                lambda h, i: F.named_struct(F.lit("hash"), h, F.lit("at"), i, F.lit("width"), F.lit(width)),
+                lambda h, i: F.named_struct(
+                    *[F.lit("hash"), h, F.lit("at"), i, F.lit("width"), F.lit(width)],
+                    *[F.lit("by_value"), F.lit(by_value)],
+                ),
             )
             return F.filter(marked, lambda m: F.get(F.col("flags"), F.pmod(m["hash"], F.lit(flags)).cast("int")))
 
-        return let(F.col("tokens"), of)
+        return let(F.col("texts" if by_value else "tokens"), of)
 
-    none = F.array().cast("array<struct<hash:bigint,at:int,width:int>>")
-    found = F.concat(none, *[hits(width) for width in sorted(known["widths"])])
+    none = F.array().cast("array<struct<hash:bigint,at:int,width:int,by_value:boolean>>")
+    found = F.concat(none, *[hits(*kind) for kind in sorted(map(tuple, known["kinds"]))])
     # arrays first, once per text; the outer form, so that no inferred filter builds them twice
     each = rows.select(
         "doc_id",
@@ -148,6 +157,7 @@ def matches(
         F.col("hit.hash").alias("hash"),
         F.col("hit.at").alias("doc_at"),
         F.col("hit.width").alias("width"),
+        F.col("hit.by_value").alias("by_value"),
     )
     side = F.broadcast(windows) if known["n"] <= broadcast_windows else windows.hint("merge")
 
@@ -159,15 +169,18 @@ def matches(
             lambda s: F.named_struct(F.lit("at"), s["at"] - F.col(at) + F.col("at"), F.lit("value"), s["value"]),
         )
 
-    joined = each.join(side, ["hash", "width"])
+    joined = each.join(side, ["hash", "width", "by_value"])
     return joined.select(
         "doc_id",
         "row_hash",
         "item_id",
         "n_windows",
+        "n_templates",
         (F.col("doc_at") - F.col("at")).alias("shift"),
         "at",
-        inside("slots", "doc_at").alias("doc_slots"),
+        "by_value",
+        # equal values: the text may have other kinds of placeholder there
+        F.when(F.col("by_value"), inside("item_slots", "at")).otherwise(inside("slots", "doc_at")).alias("doc_slots"),
         inside("item_slots", "at").alias("item_slots"),
     )
 
@@ -175,16 +188,20 @@ def matches(
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, width: int = WINDOW) -> DataFrame:
     """(doc_id, row_hash, item_id, n_matched, coverage, changed_slots) of each leak: a row per text and item.
 
-    A text leaks an item if consistent alignments match at least ``coverage`` of its windows.
+    A text leaks an item if consistent alignments match at least ``coverage`` of its windows, or of those known
+    by their template, or all but the ``width`` windows that one changed token spoils, or if one of them matches
+    ``RUN`` consecutive tokens. Items of fewer than ``2 * width`` tokens have no window beside a change in the
+    middle. ``coverage`` in the result is the share of all windows.
     ``changed_slots`` counts parameters with another value than in the item. NULL and empty
     texts leak nothing, nor does an empty benchmark. Equal rows come back once per item.
     """
     windows = stored(benchmark_windows(benchmark, width), "benchmark-windows")
     found = matches(docs, windows)
-    key = ["doc_id", "row_hash", "item_id", "n_windows", "shift"]
+    key = ["doc_id", "row_hash", "item_id", "n_windows", "n_templates", "shift"]
     # one alignment has at most the item's windows and slots
     aligned = found.groupBy(*key).agg(
-        F.collect_set("at").alias("at"),
+        F.array_sort(F.collect_set("at")).alias("at"),
+        F.collect_set(F.when(~F.col("by_value"), F.col("at"))).alias("templates"),
         F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "doc_slots")))).alias("pairs"),
     )
     plainly = F.transform(
@@ -195,17 +212,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
         F.size("mapping") == F.size(F.array_distinct(F.transform("mapping", lambda m: m["doc"])))
     )
     changed = F.size(F.filter("mapping", lambda m: ~m["item"].eqNullSafe(m["doc"])))
+    steps = max(RUN - width, 0)
+    long_run = F.exists(
+        F.transform("at", lambda a, i: F.coalesce(F.get(F.col("at"), i + steps) == a + steps, F.lit(False))),
+        lambda whole: whole,
+    ) & (F.lit(width) <= F.lit(RUN))
+    item = ["doc_id", "row_hash", "item_id", "n_windows", "n_templates"]
+
+    def matched(column: str) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.collect_list(column))))
+
     per_item = (
         aligned.filter(one_to_one)
-        .select("doc_id", "row_hash", "item_id", "n_windows", "at", changed.alias("changed"))
-        .groupBy("doc_id", "row_hash", "item_id", "n_windows")
+        .select(*item, "at", "templates", changed.alias("changed"), long_run.alias("long_run"))
+        .groupBy(*item)
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("n_matched"),
+            matched("at").alias("n_matched"),
+            matched("templates").alias("n_matched_templates"),
+            F.max("long_run").alias("long_run"),
             F.sum("changed").alias("changed_slots"),
         )
     )
     share = F.col("n_matched") / F.col("n_windows")
-    return per_item.filter(share >= coverage).select(
+    of_templates = (F.col("n_templates") > 0) & (F.col("n_matched_templates") >= coverage * F.col("n_templates"))
+    one_change = (F.col("n_windows") > width) & (F.col("n_matched") >= F.col("n_windows") - width)
+    leak = (share >= coverage) | of_templates | one_change | F.col("long_run")
+    return per_item.filter(leak).select(
         "doc_id",
         "row_hash",
         "item_id",

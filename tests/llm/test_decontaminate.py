@@ -55,3 +55,21 @@ def test_windows_equal_a_plain_search(spark, texts):
     values = [" ".join(words[a:b]) for a in range(0, 6) for b in range(a + 4, 13)]
     want = {(i, 0) for i, v in enumerate(values) if len(re.findall(r"\w+", v)) - 7 >= 0.5 * 5}
     assert set(found(texts(values), bench(spark, [item]))) == want
+
+
+def test_partial_passages_and_single_changes(spark, texts):
+    words = [f"{a}{b}" for a in "kal mor ten vus rip dol".split() for b in "ane ilo uste ora inde emi oth ull egg arm".split()]
+    long, short = " ".join(words), " ".join(words[40:58])
+    cut = [" ".join(["before", *words[20 : 20 + n], "after"]) for n in (12, 13, 25)]
+    changed = [" ".join([*words[40:k], "other", *words[k + 1 : 58]]) for k in range(40, 58)]
+    assert set(found(texts(cut), bench(spark, [long]))) == {(1, 0), (2, 0)}
+    assert {d for d, _ in found(texts(changed), bench(spark, [short]))} == set(range(18))
+
+
+def test_items_dense_in_numbers_are_found_by_their_values(spark, texts):
+    dense = "Find 3 + 4 + 5 + 6 + 7 + 8"
+    longer = "Add 1 2 3 4 5 6 7 8 9 10 11 12 and tell the sum"
+    docs = texts([f"Now: {dense}!", "Find 3 + 4 + 5 + 6 + 7 + 9", f"so {longer} now", "Find 3 things", "7", "8"])
+    assert set(found(docs, bench(spark, [dense, longer, "7"]))) >= {(0, 0), (2, 1), (4, 2)}
+    got = set(found(docs, bench(spark, [dense, longer])))
+    assert got == {(0, 0), (2, 1)}
