@@ -7,7 +7,7 @@ import uuid
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edmart.llm import decontaminate, near_copies, quality_rules, sentencepieces, suffix_dedup
+from edmart.llm import decontaminate, quality_rules, sentencepieces, simhash, suffix_dedup
 from edmart.llm.shared import shared_folder, table
 
 
@@ -17,8 +17,8 @@ def good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, a Jaccard similarity of 0.8 or more."""
-    return near_copies.keep_one(docs)
+    """One document of each group whose SimHash fingerprints of 3-word shingles link at 2 or fewer bits."""
+    return simhash.keep_one(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ STAGES = [
     ("sentencepiece encoding", encoded),
 ]
 
-# n-gram weights, shingle sets, suffix sorting and lattice search have no SQL form
+# n-gram weights, fingerprints, suffix sorting and lattice search have no SQL form
 ORACLE_SQL = None
 
 
