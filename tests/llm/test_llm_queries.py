@@ -6,14 +6,15 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from edmart.llm.queries import QUERIES
+from checkset.compare import connect, rows_of
+from edmart.llm.queries import ORACLES, QUERIES
 from edmart.llm.shared import table
 
 SF_DIR = os.environ.get("EDMART_TEST_SF", "/root/testdata/sf0.001")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
 PER_ROW = {
-    "documents": [n for n in QUERIES if n.split("_")[0] in ("op1", "op2", "op3", "op4", "op6", "op8", "op10")],
+    "documents": [n for n in QUERIES if n.split("_")[0] in ("op1", "op2", "op3", "op4", "op6", "op8", "op10", "op11", "op13")],
     "pages": [n for n in QUERIES if n.split("_")[0] in ("op5", "op9")],
 }
 NATIVE = ["op1_quality_rules", "op7_benchmark_templates"]
@@ -27,6 +28,15 @@ def test_one_row_per_input_row(spark, name, source):
     assert sorted(r[0] for r in df.select(key).collect()) == want
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, name):
+    df = QUERIES[name](spark, SF_DIR)
+    cur = connect(SF_DIR).execute(ORACLES[name])
+    columns = [d[0] for d in cur.description]
+    assert sorted(columns) == sorted(df.columns)
+    assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(columns, cur.fetchall())
+
+
 def test_leaks_are_those_of_a_plain_search(spark):
     docs = {r["doc_id"]: r["text"] for r in table(spark, SF_DIR, "documents").collect()}
     items = {r["item_id"]: r["text"] for r in table(spark, SF_DIR, "benchmark").collect()}
