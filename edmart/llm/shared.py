@@ -40,11 +40,16 @@ def let(value: Column, body) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a local one where that is unset, as in tests."""
+    """The folder all executors share: ``spark.checkpoint.dir``; a local one where that is unset, as in tests.
+
+    On a cluster there is no such local folder: without the setting the job fails.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         folder = spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="edmart-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -62,5 +67,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables; for those whose every reader has itself been stored."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+            folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -19,13 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edmart.llm import induced_sort
-from edmart.llm.shared import free_names, stored
+from edmart.llm.shared import discard, free_names, stored
 from edmart.operators.joins import lookup_join
 
 LENGTH = 200
 GRAM = 24
 SHARD_BYTES = 2 * 1024 * 1024
-HOT_PIECES = 20_000  # different pieces of one key; beyond, its windows are counted one by one
+HOT_BYTES = 512 * 1024  # of different pieces of one key; beyond, its windows are counted one by one
 CHUNK = 4_000_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MIX = 0xD6E8FEB86659FD93
@@ -172,12 +172,18 @@ def shard_spans(candidates: DataFrame, total_bytes: int, length: int, shard_byte
 
 
 def hot_spans(candidates: DataFrame, length: int) -> DataFrame:
-    """The same for keys with very many pieces: equal windows are counted, in no order and no group."""
+    """The same for keys with very many bytes: equal windows are counted, in no order and no group.
+
+    128 bits of hash stand for a window.
+    """
     starts = F.sequence(F.lit(0), F.length("data") - length)
-    each = candidates.distinct().select("key", "content", "data", F.explode(starts).alias("s"))
-    each = each.select("key", "content", "s", F.expr(f"substring(data, s + 1, {length})").alias("window"))
-    twice = each.groupBy("window").agg(F.count("*").alias("n")).filter("n > 1").select("window")
-    return lookup_join(each, twice, "window").select("key", "content", "s", (F.col("s") + length).alias("e"))
+    # equal rows bring a piece again
+    pieces = candidates.dropDuplicates(["key", "content"])
+    each = pieces.select("key", "content", "data", F.explode(starts).alias("s"))
+    window = F.expr(f"substring(data, s + 1, {length})")
+    each = each.select("key", "content", "s", F.xxhash64(window).alias("w1"), F.xxhash64(F.lit(1), window).alias("w2"))
+    twice = each.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2")
+    return lookup_join(each, twice, ["w1", "w2"]).select("key", "content", "s", (F.col("s") + length).alias("e"))
 
 
 def repeated_spans(
@@ -185,11 +191,11 @@ def repeated_spans(
     length: int = LENGTH,
     gram: int = GRAM,
     shard_bytes: int = SHARD_BYTES,
-    hot_pieces: int = HOT_PIECES,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """(d1, d2, spans): byte ranges, sorted, that repeated strings cover, of rows that have any."""
     rows = identified(docs)
-    found = pieces(rows, length, gram)
+    found = stored(pieces(rows, length, gram), "suffix-found")
     keys = (
         found.groupBy("key")
         .agg(
@@ -202,11 +208,13 @@ def repeated_spans(
         .select("key", (F.col("twice") | (F.col("low") != F.col("high"))).alias("mixed"))
     )
     hits = stored(lookup_join(found.drop("inner"), keys, "key"), "suffix-pieces")
+    discard(found)
     mixed = hits.filter("mixed")
     place = F.struct("d1", "d2", "start", "size")
     contents = mixed.groupBy("key", "content").agg(F.count("*").alias("n"), F.min(place).alias("at"))
     contents = stored(contents.select("key", "content", "n", "at.*"), "suffix-contents")
-    crowded = contents.groupBy("key").agg(F.count("*").alias("different")).filter(F.col("different") > hot_pieces)
+    weight = contents.groupBy("key").agg(F.sum(F.col("size").cast("long")).alias("different"))
+    crowded = weight.filter(F.col("different") > hot_bytes)
     per_text = contents.groupBy("d1", "d2").agg(F.collect_list(F.struct("key", "content", "start", "size")).alias("own"))
     octets = F.encode("text", "UTF-8")
     cut = F.transform(

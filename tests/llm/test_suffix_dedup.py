@@ -43,7 +43,7 @@ def fixture():
 def test_report_equals_a_plain_search(spark, hot):
     rows = fixture()
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = S.removal_report(df, length=40, gram=8, shard_bytes=2000, hot_pieces=hot).collect()
+    got = S.removal_report(df, length=40, gram=8, shard_bytes=2000, hot_bytes=hot).collect()
     assert sorted((tuple(r) for r in got), key=str) == plain(rows, 40)
 
 
