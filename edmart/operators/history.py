@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edmart.functions.text import concat_nulls_empty
+from edmart.operators.lineage import cut_if_computed
 from edmart.operators.merge import failing, repeated_key
 
 
@@ -33,9 +34,12 @@ def scd2(history: DataFrame, current: DataFrame, key: str, check_cols: Sequence[
     A changed row closes the open version and opens a new one; a new key opens a
     version; keys missing from ``current`` stay open. Keys must be unique in
     ``current`` and among the open rows (the job fails otherwise). Closed versions are not shuffled, and
-    open and current rows meet in one join on the key.
+    open and current rows meet in one join on the key. Rows that come out of joins are stored once first, as they are
+    read for the join and for the check of their keys.
     """
     now = now.cast("timestamp")
+    current = cut_if_computed(current, "history-current")
+    history = cut_if_computed(history, "history-stored")
     columns = current.columns
     closed = history.filter("valid_to IS NOT NULL")
     open_rows = history.filter("valid_to IS NULL")

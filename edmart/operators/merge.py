@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from edmart import schemas
 from edmart.operators.audit import audit_columns, created_values, is_audited
 from edmart.operators.joins import lookup_join
+from edmart.operators.lineage import cut_if_computed
 
 
 def failing(spark: SparkSession, problem: Column, shape: DataFrame) -> DataFrame:
@@ -60,9 +61,10 @@ def merge_table(
     are updated): the updates are a left join that keeps every target row in place,
     so a small batch is broadcast by its size and the table is not shuffled, and a
     hot target key can be split. The inserts only need the keys of target that
-    occur in the batch. The batch is read three times: pass ``lineage.cut(batch)``
-    when it is expensive to compute.
+    occur in the batch. The batch is used for updates, inserts and the check of its keys: one that comes
+    out of joins or groupings is stored once first (``lineage.cut``), so its inputs are read once.
     """
+    source = cut_if_computed(source, "merge-batch")
     null_safe = dict(null_safe or {})
     defaults = dict(defaults or {})
     merge_keys = [f"_key_{i}" for i in range(len(keys))]
@@ -256,7 +258,7 @@ def save_course_taxonomy(target: DataFrame, data: DataFrame, **options) -> DataF
     """Insert absent labels; stored ones are neither changed nor removed."""
     options["defaults"] = {"hydrogen_related": F.lit(False), **options.get("defaults", {})}
     key = ["course_id", "taxonomy_id"]
-    labels = data.select(*key)
+    labels = cut_if_computed(data.select(*key), "label-batch")
     known = target.select(*key).join(labels, key, "left_semi").distinct()
     fresh = labels.join(known, key, "left_anti")
     merged = target.unionByName(insert_rows(fresh, target, **options))

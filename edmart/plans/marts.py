@@ -102,22 +102,40 @@ def _with_end_log(spine: DataFrame, logs: DataFrame) -> DataFrame:
     return spine.join(at_end, on, "left")
 
 
+SPREAD = 64
+
+
 def _with_slots_log(rows: DataFrame, logs: DataFrame) -> DataFrame:
     """Add every slots-left message of the end log's run and source, or NULL without one.
 
-    ``slots_rows`` already tells which rows have a partner. Those meet the messages in an
-    inner join, where a hot (source, run) is split on either side; the rest get NULLs.
+    ``slots_rows`` already tells which rows have a partner. The others get one of ``SPREAD`` empty messages, so one
+    inner join over one reading of ``rows`` does for both, and a hot (source, run) is split on either side.
     """
     expects = F.coalesce(F.col("end_message").isNotNull() & (F.col("slots_rows") > 0), F.lit(False))
     slots = logs.filter(M.is_slots("log_message")).select(
-        F.col("log_source_id").alias("source_id"),
-        F.col("log_run_id").alias("max_run_id"),
+        F.lit(True).alias("has_slots"),
+        F.col("log_source_id").alias("slots_source"),
+        F.col("log_run_id").cast("long").alias("slots_run"),
         F.col("log_ts").alias("slots_ts"),
         F.col("log_message").alias("slots_message"),
     )
-    met = rows.filter(expects).join(slots, ["source_id", "max_run_id"])
-    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in slots.schema if f.name.startswith("slots_")]
-    return met.unionByName(rows.filter(~expects).select("*", *none))
+    kinds = {f.name: f.dataType for f in slots.schema}
+    empty = rows.sparkSession.range(SPREAD).select(
+        F.lit(False).alias("has_slots"),
+        F.lit("").cast(kinds["slots_source"]).alias("slots_source"),
+        F.col("id").alias("slots_run"),
+        *[F.lit(None).cast(kinds[c]).alias(c) for c in ("slots_ts", "slots_message")],
+    )
+    place = F.pmod(F.xxhash64("source_id"), F.lit(SPREAD))
+    keyed = rows.withColumns(
+        {
+            "has_slots": expects,
+            "slots_source": F.when(expects, F.col("source_id")).otherwise(F.lit("").cast(kinds["slots_source"])),
+            "slots_run": F.when(expects, F.col("max_run_id").cast("long")).otherwise(place),
+        }
+    )
+    key = ["has_slots", "slots_source", "slots_run"]
+    return keyed.join(slots.unionByName(empty), key).drop(*key)
 
 
 def _performance(t: Tables, fallback: bool, stage: bool) -> DataFrame:

@@ -135,3 +135,18 @@ def test_digest_keeps_descriptions_out_of_the_shuffle(spark, skewed):
     below_exchange = [line for line in plan.splitlines() if "Exchange" in line]
     assert below_exchange and not any("course_description" in line for line in below_exchange)
     assert courses.select(text.row_digest("course_title", "course_description").alias("d")).first()["d"]
+
+
+def test_slots_messages_of_a_hot_run(spark, skewed):
+    rows = spark.createDataFrame(
+        [("hot", 1, "end", 5), ("k1", 1, "end", 1), ("k2", 1, None, 3), ("quiet", None, "end", 0)],
+        "source_id string, max_run_id int, end_message string, slots_rows long",
+    )
+    logs = skewed.select(
+        F.col("key").alias("log_source_id"), F.lit(1).alias("log_run_id"), F.col("id").cast("timestamp").alias("log_ts"),
+        F.concat(F.lit("scrape (slots left: 3)"), F.col("payload")).alias("log_message"),
+    )
+    got = marts._with_slots_log(rows, logs)
+    assert splits(got) == (True, N // 3 + 3)
+    empty = {r["source_id"] for r in got.filter("slots_message IS NULL").collect()}
+    assert empty == {"k2", "quiet"} and got.columns[-2:] == ["slots_ts", "slots_message"]
