@@ -1,69 +1,35 @@
 """Entity matching by web host and by name containment.
 
-The theta joins (``a LIKE '%' || b || '%'``) are written as equi-joins. A text
-contains another exactly when the other is one of its substrings, so the longer
-side emits its substrings (only of lengths that occur on the shorter side, as
-64-bit hashes) and meets the shorter side on equality; ``contains`` then removes
-hash collisions. Only true matches survive the join: no pair is built because two
-names merely share a common fragment. Names are deduplicated on both sides first.
-Empty and one-letter names need no special path: their substrings are emitted too.
+The theta joins (``a LIKE '%' || b || '%'``) are written as equi-joins: names meet through an index of their
+rarest letter runs (``names``), hosts through the dot suffixes of the longer one. No pair is built because two
+names merely share a common fragment. Names are deduplicated on both sides first, and only names that no host
+has settled are matched at all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from typing import NamedTuple
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edmart.operators.joins import lookup_join
 from edmart.operators.lineage import cut
+from edmart.operators.names import KEY, NameIndex, Q, distinct_names, emitted, frequencies, identified, keyed
 
 
-def _substring_hashes(text: Column, length: Column) -> Column:
-    """Distinct hashes of the substrings of ``text`` with the given length."""
-    starts = F.sequence(F.lit(1), F.length(text) - length + 1)
-    return F.array_distinct(F.transform(starts, lambda i: F.xxhash64(F.substring(text, i, length))))
-
-
-def contains_pairs(
-    longs: DataFrame, long: str, shorts: DataFrame, short: str, known_lengths: bool = True
-) -> DataFrame:
+def contains_pairs(longs: DataFrame, long: str, shorts: DataFrame, short: str) -> DataFrame:
     """All pairs of rows where ``long`` contains ``short``; columns of both sides are kept.
 
-    Both sides should be distinct on their text. With ``known_lengths`` only
-    substrings of lengths that occur among ``shorts`` are emitted: the set is one
-    small value (no longer than the longest short name), read as a scalar subquery.
-    That pays when ``shorts`` is the smaller side; otherwise leave it out.
-    """
-    texts = longs.filter(F.col(long).isNotNull())
-    if known_lengths:
-        lengths = shorts.agg(F.sort_array(F.collect_set(F.length(short)))).scalar()
-        texts = texts.withColumn("match_lengths", lengths)
-    else:
-        texts = texts.withColumn("match_lengths", F.sequence(F.lit(0), F.length(long)))
-    keyed_longs = (
-        texts.withColumn("match_length", F.explode("match_lengths"))
-        .filter(F.col("match_length") <= F.length(long))
-        .withColumn("match_key", F.explode(_substring_hashes(F.col(long), F.col("match_length"))))
-        .drop("match_lengths")
-    )
-    keyed_shorts = shorts.filter(F.col(short).isNotNull()).select(
-        "*", F.length(short).alias("match_length"), F.xxhash64(short).alias("match_key")
-    )
-    return (
-        keyed_longs.join(keyed_shorts, ["match_length", "match_key"])
-        .filter(F.contains(F.col(long), F.col(short)))
-        .drop("match_length", "match_key")
-    )
-
-
-def _either_contains(many: DataFrame, name: str, few: DataFrame, other: str) -> DataFrame:
-    """Pairs where either text contains the other. A pair of equal texts appears twice.
-
-    ``few`` is the side expected to be smaller; that affects the cost, not the result.
+    Both sides should be distinct on their text.
     """
-    return contains_pairs(many, name, few, other).unionByName(
-        contains_pairs(few, other, many, name, known_lengths=False)
-    )
+    around, inside = distinct_names(longs, long), distinct_names(shorts, short)
+    widths = F.array(*[F.lit(w) for w in range(Q + 1)])
+    grams = emitted(around, widths)
+    keys = keyed(inside, frequencies(grams)).withColumnRenamed("name", short)
+    pairs = lookup_join(grams, keys, KEY).join(around.withColumnRenamed("name", long), "name_id")
+    pairs = pairs.filter(F.contains(F.col(long), F.col(short))).select(long, short)
+    return longs.join(pairs, long).join(shorts, short)
 
 
 def _keep_unmatched(names: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
@@ -76,12 +42,12 @@ def _keep_unmatched(names: DataFrame, pairs: DataFrame, key: str) -> DataFrame:
     return pairs.unionByName(unmatched, allowMissingColumns=True)
 
 
-def similar_sources(names: DataFrame, sources: DataFrame, courses: DataFrame, stage: bool = False) -> DataFrame:
+def similar_sources(names: DataFrame, sources: DataFrame, courses: DataFrame, stage: bool = True) -> DataFrame:
     """Input names with the enabled, course-owning schools whose name contains them or is contained.
 
-    The pairs are used twice; with ``stage`` they are stored in the checkpoint folder first.
+    The pairs are used twice; with ``stage`` they are stored in the shared folder first.
     """
-    wanted = names.select("source_name").distinct()
+    wanted = distinct_names(names, "source_name")
     owners = courses.select(F.col("course_source_id").alias("source_id")).distinct()
     schools = (
         sources.filter("is_enabled")
@@ -90,73 +56,97 @@ def similar_sources(names: DataFrame, sources: DataFrame, courses: DataFrame, st
         .select("cleaned_name")
         .distinct()
     )
-    pairs = _either_contains(schools, "cleaned_name", wanted, "source_name").select("source_name", "cleaned_name")
-    pairs = cut(pairs.distinct()) if stage else pairs.distinct()
-    return _keep_unmatched(wanted, pairs, "source_name")
+    pairs = NameIndex.build(distinct_names(schools, "cleaned_name")).pairs(wanted).distinct()
+    pairs = pairs.select(F.col("name").alias("source_name"), F.col("other").alias("cleaned_name"))
+    pairs = cut(pairs, "similar-pairs") if stage else pairs
+    return _keep_unmatched(names.select("source_name").distinct(), pairs, "source_name")
 
 
-def similar_universities(names: DataFrame, universities: DataFrame, stage: bool = False) -> DataFrame:
+def similar_universities(names: DataFrame, universities: DataFrame, stage: bool = True) -> DataFrame:
     """Input names with the hosts of institutions whose name contains them or is contained.
 
     ``stage`` as in ``similar_sources``.
     """
-    wanted = names.select("source_name").distinct()
+    wanted = distinct_names(names, "source_name")
     institutions = universities.select("instnm", "uni_host").distinct()
+    found = NameIndex.build(distinct_names(institutions, "instnm")).pairs(wanted)
     pairs = (
-        _either_contains(institutions.select("instnm").distinct(), "instnm", wanted, "source_name")
+        found.select(F.col("name").alias("source_name"), F.col("other").alias("instnm"))
         .distinct()
         .join(institutions, "instnm")
         .select("source_name", "uni_host")
         .distinct()
     )
-    pairs = cut(pairs) if stage else pairs
-    return _keep_unmatched(wanted, pairs, "source_name")
+    pairs = cut(pairs, "similar-pairs") if stage else pairs
+    return _keep_unmatched(names.select("source_name").distinct(), pairs, "source_name")
 
 
-def _host_matches(sources: DataFrame, universities: DataFrame) -> DataFrame:
-    """src_host -> smallest unitid whose host equals it or is one of its dot suffixes."""
-    hosts = sources.select("src_host").filter("src_host IS NOT NULL").distinct()
-    labels = F.split("src_host", r"\.")
-    suffixes = F.transform(
+def host_suffixes(host: Column) -> Column:
+    """The host and what follows each of its dots."""
+    labels = F.split(host, r"\.")
+    return F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
-    by_host = universities.groupBy("uni_host").agg(F.min("unitid").alias("host_unitid"))
-    return (
-        hosts.withColumn("uni_host", F.explode(suffixes))
-        .transform(lookup_join, by_host, "uni_host")
-        .groupBy("src_host")
-        .agg(F.min("host_unitid").alias("host_unitid"))
-    )
 
 
-def _name_matches(sources: DataFrame, universities: DataFrame) -> DataFrame:
-    """Lowered cleaned name -> smallest unitid whose lowered name contains it or is contained."""
-    names = sources.select(F.lower("cleaned_name").alias("name_key")).filter("name_key IS NOT NULL").distinct()
-    by_name = universities.groupBy(F.lower("instnm").alias("uni_key")).agg(F.min("unitid").alias("name_unitid"))
-    return (
-        _either_contains(names, "name_key", by_name, "uni_key")
-        .groupBy("name_key")
-        .agg(F.min("name_unitid").alias("name_unitid"))
-    )
-
-
-def match_sources(sources: DataFrame, universities: DataFrame) -> DataFrame:
-    """One row per source name with its university: by host first, else by name, else none.
-
-    Ties take the smallest unitid, then the smallest source id. Only the smallest
-    unitid per host and per name is carried through the joins; names and hosts of
-    the chosen universities come from one join at the end.
-    """
-    matched = (
-        sources.select("source_id", "source_name", "cleaned_name", "src_host")
-        .withColumn("name_key", F.lower("cleaned_name"))
-        .transform(lookup_join, _host_matches(sources, universities), "src_host", "left", ["source_id"])
-        .transform(lookup_join, _name_matches(sources, universities), "name_key", "left", ["source_id"])
-    )
+class UniversityIndex(NamedTuple):
+    """What matching reads of the universities: the smallest unit per host and per lowered name, and the name index."""
+
+    hosts: DataFrame
+    units: DataFrame
+    names: NameIndex
+
+    @classmethod
+    def build(cls, universities: DataFrame) -> UniversityIndex:
+        known = universities.select("unitid", "uni_host", F.lower("instnm").alias("uni_key"))
+        hosts = known.filter("uni_host IS NOT NULL").groupBy("uni_host").agg(F.min("unitid").alias("host_unitid"))
+        units = known.filter("uni_key IS NOT NULL").groupBy("uni_key").agg(F.min("unitid").alias("name_unitid"))
+        units = cut(units, "university-names")
+        return cls(hosts, units, NameIndex.build(identified(units.select(F.col("uni_key").alias("name")))))
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> UniversityIndex:
+        hosts, units = (spark.read.parquet(f"{path}/{part}") for part in ("hosts", "units"))
+        hosts = hosts.groupBy("uni_host").agg(F.min("host_unitid").alias("host_unitid"))
+        units = units.groupBy("uni_key").agg(F.min("name_unitid").alias("name_unitid"))
+        return cls(hosts, units, NameIndex.load(spark, f"{path}/names"))
+
+    def save(self, path: str) -> None:
+        self.hosts.write.parquet(f"{path}/hosts")
+        self.units.write.parquet(f"{path}/units")
+        self.names.save(f"{path}/names")
+
+    def add(self, universities: DataFrame, path: str) -> None:
+        """Append new universities to the index stored at ``path``."""
+        new = UniversityIndex.build(universities)
+        new.hosts.write.mode("append").parquet(f"{path}/hosts")
+        new.units.write.mode("append").parquet(f"{path}/units")
+        self.names.add(new.names.names, f"{path}/names")
+
+    def by_host(self, sources: DataFrame) -> DataFrame:
+        """src_host -> smallest unitid whose host equals it or is one of its dot suffixes."""
+        hosts = sources.select("src_host").filter("src_host IS NOT NULL").distinct()
+        return (
+            hosts.withColumn("uni_host", F.explode(host_suffixes(F.col("src_host"))))
+            .transform(lookup_join, self.hosts, "uni_host")
+            .groupBy("src_host")
+            .agg(F.min("host_unitid").alias("host_unitid"))
+        )
+
+    def by_name(self, keys: DataFrame, column: str) -> DataFrame:
+        """Lowered name -> smallest unitid whose lowered name contains it or is contained."""
+        new = identified(keys.select(F.col(column).alias("name")).distinct())
+        pairs = self.names.pairs(new).select(F.col("name").alias(column), F.col("other").alias("uni_key"))
+        found = lookup_join(pairs, self.units, "uni_key")
+        return found.groupBy(column).agg(F.min("name_unitid").alias("name_unitid"))
+
+
+def _choice() -> Column:
+    """What decides between the candidates of a source name: the smallest of these is taken."""
     by_host = F.col("host_unitid").isNotNull()
     unitid = F.coalesce("host_unitid", "name_unitid")
-    choice = F.struct(
+    return F.struct(
         F.when(by_host, 1).otherwise(2).alias("match_rank"),
         unitid.isNull().alias("is_unmatched"),
         unitid.alias("unitid"),
@@ -168,10 +158,35 @@ def match_sources(sources: DataFrame, universities: DataFrame) -> DataFrame:
         .otherwise("no_match")
         .alias("match_type"),
     )
-    best = matched.groupBy("source_name").agg(F.min(choice).alias("best")).select("source_name", "best.*")
+
+
+def choices(sources: DataFrame, index: UniversityIndex) -> DataFrame:
+    """(source_name, best): the best candidate of each source name, by host first, else by name, else none.
+
+    Names are only matched where no source of the name is settled by its host.
+    """
+    rows = sources.select("source_id", "source_name", "cleaned_name", "src_host", F.lower("cleaned_name").alias("name_key"))
+    hosted = lookup_join(rows, index.by_host(rows), "src_host")
+    settled = hosted.select("source_name").distinct()
+    # read for their names and for the join with what these found
+    others = cut(lookup_join(rows, settled, "source_name", "left_anti", ["source_id"]), "without-host")
+    named = lookup_join(others, index.by_name(others, "name_key"), "name_key", "left", ["source_id"])
+    both = hosted.unionByName(named, allowMissingColumns=True)
+    return both.groupBy("source_name").agg(F.min(_choice()).alias("best"))
+
+
+def better(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The better of two sets of ``choices``, per source name: how matches stay right when universities arrive."""
+    both = old.unionByName(new)
+    return both.groupBy("source_name").agg(F.min("best").alias("best"))
+
+
+def described(best: DataFrame, universities: DataFrame) -> DataFrame:
+    """``choices`` with the university's name and host."""
     extra = [c for c in ("universities_table_id",) if c in universities.columns]
     institutions = universities.select("unitid", "instnm", "uni_host", *extra)
-    return lookup_join(best, institutions, "unitid", "left", ["source_name"]).select(
+    flat = best.select("source_name", "best.*")
+    return lookup_join(flat, institutions, "unitid", "left", ["source_name"]).select(
         "cleaned_name",
         "source_name",
         "source_id",
@@ -183,3 +198,14 @@ def match_sources(sources: DataFrame, universities: DataFrame) -> DataFrame:
         "match_type",
         F.lit(1).cast("bigint").alias("rn"),
     )
+
+
+def match_sources(sources: DataFrame, universities: DataFrame, index: UniversityIndex | None = None) -> DataFrame:
+    """One row per source name with its university: by host first, else by name, else none.
+
+    Ties take the smallest unitid, then the smallest source id. Only the smallest
+    unitid per host and per name is carried through the joins; names and hosts of
+    the chosen universities come from one join at the end. With a stored ``index`` of the universities only
+    the sources and the index are matched.
+    """
+    return described(choices(sources, index or UniversityIndex.build(universities)), universities)
