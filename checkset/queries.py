@@ -5,6 +5,7 @@ Results use plain types: times as text, codes as text, no random ids.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,10 @@ from edmart.functions import cip, messages, times
 from edmart.operators import audit, checks, counts, history, logtimes, match, merge, repair, staging, validate
 from edmart.plans import linking, loads, marts
 from edmart.plans.views import register_views
-from edmart.sources import survey
+from edmart.operators.lineage import cut, shared_folder
+from edmart.sources import survey, tables
 from edmart.sources.tables import Tables, load_seed
+from edmart.streaming import new_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -555,6 +558,51 @@ def load_enrollment(t):
     return load.facts.select(*ENROLLMENT_KEYS_SQL, "total_headcount")
 
 
+def _new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query(
+    """, named AS (SELECT DISTINCT table_name, report_year, 'read' AS outcome FROM survey_gradrates),
+counted AS (SELECT report_year, count(*) AS n_rows, CAST(sum(grtotlt) AS BIGINT) AS grtotlt FROM survey_gradrates GROUP BY ALL)
+SELECT n.*, n_rows, grtotlt FROM named n JOIN counted USING (report_year)
+UNION ALL VALUES ('GR1980', 1980, 'missing columns', NULL, NULL)""",
+    ("survey_gradrates",),
+)
+def list_tables(t):
+    """Survey tables written to a folder of yearly tables, listed and scanned."""
+    spark, folder = t.survey_gradrates.sparkSession, _new_folder(t.survey_gradrates.sparkSession, "survey")
+    rows = t.survey_gradrates
+    for k, (name, open_table) in enumerate(_yearly(rows, "GR{}", GR_RAW, [("GR1980", rows.select("unitid")), ("~GR2000", rows)])):
+        open_table().write.parquet(f"{folder}/base{k % 2}/{name}.parquet")
+    scan = survey.scan_survey(spark, folder, "GR")
+    counts_ = scan.rows.groupBy("report_year").agg(F.count("*").alias("n_rows"), F.sum("grtotlt").alias("grtotlt"))
+    report = survey.scan_report(spark, scan)
+    return report.join(counts_, "report_year", "left").select("table_name", "report_year", "outcome", "n_rows", "grtotlt")
+
+
+UPSERTED_SQL = """, sums AS (SELECT unitid, report_year, student_level, CAST(sum(total_headcount) AS INT) AS n
+  FROM survey_enrollment WHERE total_headcount IS NOT NULL GROUP BY ALL)
+SELECT report_year, unitid, student_level,
+  CASE WHEN report_year >= 1996 AND student_level <= 4 THEN n WHEN student_level >= 3 THEN n * 2 END AS total_headcount
+FROM sums WHERE student_level >= 3 OR report_year >= 1996 AND student_level <= 4"""
+
+
+@query(UPSERTED_SQL, ("survey_enrollment",))
+def upsert_years(t):
+    """A stored fact table: levels from 3 on, doubled; then levels to 4 of the years from 1996 on are upserted."""
+    present = t.survey_enrollment.filter("total_headcount IS NOT NULL")
+    sums = cut(present.groupBy("unitid", "report_year", "student_level").agg(F.sum("total_headcount").alias("n")))
+    spark, path = sums.sparkSession, _new_folder(sums.sparkSession, "enrollment")
+    facts = sums.withColumn("total_headcount", F.col("n") * 2).withColumn("enrollment_id", loads.fact_id(schemas.ENROLLMENT))
+    tables.save_table(schemas.conform(facts.filter("student_level >= 3"), schemas.ENROLLMENT), path, "enrollment_fact")
+    batch = sums.filter("report_year >= 1996 AND student_level <= 4").withColumnRenamed("n", "total_headcount")
+    years = sorted(r["report_year"] for r in batch.select("report_year").distinct().collect())  # one row a year
+    loads.upsert_years(spark, path, schemas.ENROLLMENT, merge.upsert_enrollment, batch, years)
+    stored = spark.read.schema(schemas.ENROLLMENT.struct).parquet(path)
+    return stored.select("report_year", "unitid", F.col("student_level").cast("int").alias("student_level"), "total_headcount")
+
+
 # --- merges --------------------------------------------------------------------------------
 
 
@@ -964,6 +1012,43 @@ def new_sources_pipeline(t):
     return names.unionByName(sources).unionByName(unis)
 
 
+NAMES_LINKS_STAMPS_SQL = f"""
+SELECT 'name' AS kind, sha256(cleaned_name) AS id, cleaned_name AS value FROM (SELECT DISTINCT cleaned_name FROM sources) d
+UNION ALL SELECT 'source', source_id, sha256(cleaned_name) FROM sources
+UNION ALL SELECT 'university', CAST(unitid AS VARCHAR), university_distinct_id FROM ({_stamps_sql('sources')}) s"""
+
+
+@query(NAMES_LINKS_STAMPS_SQL, ("sources", "universities"))
+def stream_new_sources(t):
+    """All sources as a stream: names from the state store, links and stamps per micro-batch."""
+    spark, folder = t.raw_sources.sparkSession, _new_folder(t.raw_sources.sparkSession, "stream")
+    raw = t.raw_sources.select("source_id", "source_name", "source_base_url")
+    raw.write.parquet(f"{folder}/inbox")
+    stream = spark.readStream.schema(raw.schema).parquet(f"{folder}/inbox")
+    new_sources.start(stream, f"{folder}/out", f"{folder}/progress", lambda: t.universities).awaitTermination()
+    names = new_sources.distinct_sources(spark, f"{folder}/out")
+    linked = new_sources.linked_sources(spark, f"{folder}/out", t.sources)
+    unis = new_sources.stamped_universities(spark, f"{folder}/out", t.universities)
+    return (
+        names.select(F.lit("name").alias("kind"), F.col("distinct_id").alias("id"), F.col("distinct_name").alias("value"))
+        .unionByName(linked.select(F.lit("source").alias("kind"), F.col("source_id").alias("id"), F.col("source_distinct_id").alias("value")))
+        .unionByName(unis.select(F.lit("university").alias("kind"), F.col("unitid").cast("string").alias("id"), F.col("university_distinct_id").alias("value")))
+    )
+
+
+@query(
+    """, old AS (SELECT * FROM universities WHERE unitid % 2 = 0)
+SELECT source_name, unitid, match_type FROM (""" + _best_sql() + ") b",
+    ("sources", "universities"),
+)
+def rematch_on_new_universities(t):
+    """Sources matched to half of the universities, then to the other half alone."""
+    new = F.col("unitid") % 2 != 0
+    before = cut(match.choices(t.sources, match.UniversityIndex.build(t.universities.filter(~new))))
+    best = linking.on_new_universities(before, t.sources, t.universities.filter(new))
+    return best.select("source_name", "best.unitid", "best.match_type")
+
+
 @query(
     f"""SELECT run_id, CASE WHEN hit THEN 'finished' ELSE run_status END AS run_status,
   {_ts('run_start_time', 'run_start_time')},
@@ -1116,7 +1201,7 @@ def scd2_snapshot(t):
     )
     rows = history.course_snapshot_rows(details, ["taxonomy_id", "course_title", "course_id"])
     watched = ["taxonomy_description", "course_description", "cleaned_name"]
-    rows = rows.select("history_key", *watched)
+    rows = cut(rows.select("history_key", *watched))  # stored rows of the mart
     old = rows.filter("cleaned_name LIKE '%th%'").withColumn("course_description", F.lower("course_description"))
     opened = history.start_history(old, F.lit("2025-01-01 00:00:00"))
     return _times_as_text(history.scd2(opened, rows, "history_key", watched, _now()))

@@ -24,12 +24,14 @@ def shared_folder(spark: SparkSession) -> str | None:
 
 
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """``df`` written once as Parquet in the shared folder and read again.
+    """``df`` computed once and kept in the shared folder: a checkpoint, or else a Parquet table read again.
 
-    Runs a job now. The copy survives the loss of executors, is read by column, and its size is known, so
-    a small one is broadcast. On a cluster that names no folder, ``df`` comes back as it is and is
+    Runs a job now. The copy survives the loss of executors. A session whose context has a checkpoint
+    folder gets a checkpoint. On a cluster that names no folder, ``df`` comes back as it is and is
     recomputed at each use.
     """
+    if df.sparkSession.sparkContext.getCheckpointDir() is not None:
+        return df.checkpoint(eager=True)
     folder = shared_folder(df.sparkSession)
     if folder is None:
         return df

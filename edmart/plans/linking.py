@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edmart.operators.joins import lookup_join
-from edmart.operators.match import match_sources
+from edmart.operators.lineage import cut_if_computed
+from edmart.operators.match import UniversityIndex, better, choices
 
 
 def name_id(name: str = "distinct_name"):
@@ -61,14 +62,16 @@ def link_sources(sources: DataFrame, distinct_sources: DataFrame, only: DataFram
     return out.select(*dict.fromkeys([*sources.columns, "source_distinct_id"]))
 
 
-def university_stamps(sources: DataFrame, linked: DataFrame, universities: DataFrame) -> DataFrame:
+def university_stamps(
+    sources: DataFrame, linked: DataFrame, universities: DataFrame, index: UniversityIndex | None = None
+) -> DataFrame:
     """unitid -> distinct id of one of ``sources`` matched to it; ``linked`` has their links.
 
     Several schools may match one university: the first by name gives the id.
-    Unmatched sources stamp nothing. Matching reads ``sources`` several times, the
-    links only once.
+    Unmatched sources stamp nothing. With a stored ``index`` only ``sources`` and the index are matched.
     """
-    matched = match_sources(sources, universities).filter("unitid IS NOT NULL").select("source_id", "unitid")
+    best = choices(sources, index or UniversityIndex.build(universities))
+    matched = best.select("best.source_id", "best.unitid").filter("unitid IS NOT NULL")
     first = F.min(F.struct("cleaned_name", "source_distinct_id"))
     return (
         matched.join(linked.select("source_id", "cleaned_name", "source_distinct_id"), "source_id")
@@ -103,15 +106,30 @@ class Linked(NamedTuple):
 
 
 def on_new_sources(
-    new: DataFrame, sources: DataFrame, distinct_sources: DataFrame, universities: DataFrame
+    new: DataFrame,
+    sources: DataFrame,
+    distinct_sources: DataFrame,
+    universities: DataFrame,
+    index: UniversityIndex | None = None,
 ) -> Linked:
     """What follows an insert of ``new`` into ``sources`` (which already holds them).
 
     (1) register unseen names, (2) link the new sources, (3) match them and stamp
-    their universities. Running it again with the same input changes nothing.
+    their universities. Running it again with the same input changes nothing. Matching reads only ``new`` and the
+    ``index`` of the universities, where one is stored.
     """
+    new = cut_if_computed(new, "new-sources")
     names = distinct_sources.unionByName(
         new_distinct_names(new, distinct_sources), allowMissingColumns=True
     )
     linked = link_sources(sources, names, only=new)
-    return Linked(names, linked, stamp_universities(universities, university_stamps(new, linked, universities)))
+    return Linked(names, linked, stamp_universities(universities, university_stamps(new, linked, universities, index)))
+
+
+def on_new_universities(matched: DataFrame, sources: DataFrame, new: DataFrame) -> DataFrame:
+    """``matched`` (the ``choices`` of all sources so far) after universities were added.
+
+    The sources meet the new universities only. The best of the old and the new candidates is the best of
+    all, so the result is that of matching everything again.
+    """
+    return better(matched, choices(sources, UniversityIndex.build(new)))

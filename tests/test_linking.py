@@ -2,6 +2,7 @@
 
 import pytest
 
+from edmart.operators import match
 from edmart.operators.normalise import normalise_sources, normalise_universities
 from edmart.plans import linking
 from edmart.streaming import new_sources
@@ -101,3 +102,47 @@ def test_last_batch_stamps_a_university(spark, frame, universities, tmp_path):
     new_sources.process_batch(frame([("2", "Zzz", "http://foo.edu")], RAW), 1, base, universities)
     got = dict(rows(new_sources.stamped_universities(spark, base, universities), "unitid", "university_distinct_id"))
     assert got == {1: ids(spark, "zzz")["zzz"], 2: "kept", 3: None}
+
+
+def test_many_batches_keep_each_name_once(spark, frame, universities, tmp_path):
+    inbox, base = str(tmp_path / "inbox"), str(tmp_path / "state")
+    data = [[(f"{b}-{i}", f"Name {(b + i) % 9} src_{b}", f"http://h{i}.org") for i in range(4)] for b in range(12)]
+    for batch in data:
+        frame(batch, RAW).coalesce(1).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema(RAW).option("maxFilesPerTrigger", 1).parquet(inbox)
+    running = new_sources.start(stream, base, str(tmp_path / "checkpoint"), lambda: universities)
+    assert running.awaitTermination(300)
+    assert rows(spark.read.parquet(f"{base}/first_seen"), "distinct_name") == [(f"name {i}",) for i in range(9)]
+    assert not (tmp_path / "state" / "distinct_sources").exists()  # no batch looks names up
+    # a batch brings all names again: none is new, and the state store needs no earlier file
+    frame([("x", "Name 3", None), ("y", "Name 8", None), ("z", None, None)], RAW).coalesce(1).write.mode("append").parquet(inbox)
+    assert new_sources.start(stream, base, str(tmp_path / "checkpoint"), lambda: universities).awaitTermination(300)
+    assert spark.read.parquet(f"{base}/first_seen").count() == 9
+    linked = dict(rows(spark.read.parquet(f"{base}/source_links"), "source_id", "source_distinct_id"))
+    assert linked["x"] == ids(spark, "name 3")["name 3"] and "z" not in linked and len(linked) == 50
+
+
+def test_a_source_with_a_stored_index_reads_no_university(spark, frame, universities, tmp_path):
+    path = str(tmp_path / "index")
+    match.UniversityIndex.build(universities.filter("unitid < 3")).save(path)
+    match.UniversityIndex.load(spark, path).add(universities.filter("unitid >= 3"), path)
+    index = match.UniversityIndex.load(spark, path)
+    new = sources(frame, [("1", "Quux College", None), ("2", "x", "http://a.bar.edu"), ("3", "fo", None), ("4", "zzz", None)])
+    want = rows(match.choices(new, match.UniversityIndex.build(universities)).select("source_name", "best.unitid"))
+    assert rows(match.choices(new, index).select("source_name", "best.unitid")) == want
+    assert [u for _, u in want] == [1, 3, 2, None] or sorted(u or 0 for _, u in want) == [0, 1, 2, 3]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_new_universities_meet_old_sources(spark, frame, seed):
+    import random
+
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 6)))
+    data = sources(frame, [(str(i), word(), f"http://{word()}.{word()}.edu" if i % 3 else None) for i in range(60)])
+    unis = normalise_universities(frame([(i, word(), f"{word()}.edu") for i in range(30)], "unitid int, instnm string, webaddr string"))
+    matched = match.choices(data, match.UniversityIndex.build(unis.filter("unitid < 10")))
+    for low, high in ((10, 20), (20, 30)):
+        matched = linking.on_new_universities(matched, data, unis.filter(f"unitid >= {low} AND unitid < {high}"))
+    want = match.choices(data, match.UniversityIndex.build(unis))
+    assert rows(matched.select("source_name", "best.*")) == rows(want.select("source_name", "best.*"))
