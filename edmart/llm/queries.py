@@ -243,7 +243,20 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM judged GROUP BY doc_id, row
 """
 
+OP9_SQL = """
+WITH sized AS (
+  SELECT page_id, coalesce(html, '') AS payload, strlen(coalesce(html, '')) AS payload_bytes FROM pages
+), latest AS (
+  SELECT payload, max(page_id) AS original FROM sized WHERE payload_bytes >= 1000 GROUP BY payload
+)
+SELECT page_id, payload_bytes, sha1(s.payload) AS payload_digest,
+  CASE WHEN page_id < original THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < original THEN original END AS refers_to
+FROM sized s LEFT JOIN latest l ON s.payload = l.payload
+"""
+
 ORACLES: dict[str, str] = {
+    "op9_warc_revisits": OP9_SQL,
     "op11_merkle_manifest": OP11_SQL,
     "op12_hard_negatives": OP12_SQL,
     "op13_line_dedup": OP13_SQL,

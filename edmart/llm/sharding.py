@@ -17,29 +17,52 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from edmart.llm.shared import shared_folder, stored
+from edmart.llm.shared import free_names, shared_folder, stored
 
 SHARDS = 8
 BITS = 4
 FILE_ROWS = 100_000
+SAMPLE = 4096  # different texts that the cut points of a text column come from
+ADDED = ("hilbert", "shard", "slot", "file")
 
 
 def order_code(df: DataFrame, name: str) -> Column:
-    """A long in the order of the column: numbers rounded down, else the first 7 UTF-8 bytes."""
+    """The column as something that is compared in its order: numbers rounded down, else the whole text."""
     if isinstance(df.schema[name].dataType, (T.NumericType, T.BooleanType)):
         return F.col(name).cast("long")
-    head = F.rpad(F.hex(F.substring(F.encode(F.col(name).cast("string"), "UTF-8"), 1, 7)), 14, "0")
-    return F.conv(head, 16, 10).cast("long")
+    return F.col(name).cast("string")
 
 
-def quantile_cuts(codes: DataFrame, bits: int) -> dict[str, list[int]]:
-    """At most ``2**bits - 1`` rising cut points per column, from one approximate quantile pass."""
-    parts = [i / 2**bits for i in range(1, 2**bits)]
-    row = codes.agg(*[F.percentile_approx(c, parts, 10_000).alias(c) for c in codes.columns]).first()
-    return {c: sorted(set(row[c] or [])) for c in codes.columns}
-
+def quantile_cuts(codes: DataFrame, bits: int, sample: int = SAMPLE) -> dict[str, list]:
+    """At most ``2**bits - 1`` rising cut points per column.
 
-def cell_of(code: Column, cuts: list[int]) -> Column:
+    Those of numbers come from one approximate quantile pass over all rows, those of texts from the counts of
+    ``sample`` different values, the ones of the lowest hash: whole texts are compared, however long their common
+    beginning is.
+    """
+    parts = [i / 2**bits for i in range(1, 2**bits)]
+    numbers = [f.name for f in codes.schema.fields if f.dataType == T.LongType()]
+    texts = [c for c in codes.columns if c not in numbers]
+    cuts: dict[str, list] = {}
+    if numbers:
+        row = codes.agg(*[F.percentile_approx(c, parts, 10_000).alias(c) for c in numbers]).first()
+        cuts |= {c: sorted(set(row[c] or [])) for c in numbers}
+    for c in texts:
+        counts = codes.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n"))
+        rows = counts.orderBy(F.xxhash64(c), c).limit(sample).collect()
+        values = sorted(((r[0], r[1]) for r in rows), key=lambda v: v[0].encode("utf-8"))
+        total, at, found = sum(n for _, n in values), 0, []
+        wanted = [p * total for p in parts]
+        for text, n in values:
+            at += n
+            if wanted and at > wanted[0]:
+                found.append(text)
+                wanted = [w for w in wanted if w >= at]
+        cuts[c] = found
+    return cuts
+
+
+def cell_of(code: Column, cuts: list) -> Column:
     """How many cut points are below the value; 0 for NULL."""
     return sum((F.coalesce(code > c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
 
@@ -97,16 +120,21 @@ def assign_shards(
 
     Rows are ranked by curve index, then by ``ties``; shard sizes differ by one row at most.
     NULL dimensions count as the lowest cell. Rows equal in index and ties take neighbouring
-    slots in any order. An empty table stays empty. Columns of ``df`` with one of the four
-    names are replaced.
+    slots in any order. An empty table stays empty. A column of ``df`` with one of the four
+    names keeps its values under that name with an underscore behind it (or more, until it is free).
     """
-    df = df.drop("hilbert", "shard", "slot", "file")
+    for name in df.columns:
+        if name.lower() in ADDED:
+            (free,) = free_names(df, f"{name}_")
+            df = df.withColumnRenamed(name, free)
+            dims, ties = ([free if c.lower() == name.lower() else c for c in own] for own in (dims, ties))
+    p, r = free_names(df, "_part", "_rank")
     order = ["hilbert", *ties]
     # a range exchange, then the sorted partitions as they are, written once: ranks need fixed partitions
     parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ranged = with_hilbert(df, dims, bits).repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
+    ranged = with_hilbert(df, dims, bits).repartitionByRange(parts, *order).withColumn(p, F.spark_partition_id())
     ranged = stored(ranged, "hilbert")
-    counts = sorted((r["_part"], r["n"]) for r in ranged.groupBy("_part").agg(F.count("*").alias("n")).collect())
+    counts = sorted((row[0], row[1]) for row in ranged.groupBy(p).agg(F.count("*")).collect())
     total, before, offsets = sum(n for _, n in counts), 0, []
     for part, n in counts:
         offsets.append((part, before))
@@ -114,15 +142,15 @@ def assign_shards(
     offset = F.lit(0)
     if offsets:
         by_part = F.create_map(*[F.lit(v).cast("long") for pair in offsets for v in pair])
-        offset = F.element_at(by_part, F.col("_part").cast("long"))
-    in_part = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+        offset = F.element_at(by_part, F.col(p).cast("long"))
+    in_part = F.row_number().over(Window.partitionBy(p).orderBy(*order)) - 1
     base, more = divmod(total, shards)
-    rank, wide = F.col("_rank"), more * (base + 1)  # the first ``more`` shards have one row more
+    rank, wide = F.col(r), more * (base + 1)  # the first ``more`` shards have one row more
     shard = F.when(rank < wide, F.floor(rank / (base + 1))).otherwise(more + F.floor((rank - wide) / max(base, 1)))
     start = F.col("shard") * base + F.least(F.col("shard"), F.lit(more))
-    ranked = ranged.withColumn("_rank", offset + in_part).withColumn("shard", shard.cast("int"))
+    ranked = ranged.withColumn(r, offset + in_part).withColumn("shard", shard.cast("int"))
     ranked = ranked.withColumn("slot", (rank - start).cast("long"))
-    return ranked.withColumn("file", F.floor(F.col("slot") / file_rows).cast("int")).drop("_part", "_rank")
+    return ranked.withColumn("file", F.floor(F.col("slot") / file_rows).cast("int")).drop(p, r)
 
 
 def manifest(sharded: DataFrame, dims: list[str]) -> DataFrame:

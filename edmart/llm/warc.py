@@ -8,8 +8,10 @@ files by Content-Length and joins revisits to their originals.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import uuid
+import zlib
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -114,50 +116,70 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES, file_b
     found.write.option("lineSep", LINE_END).option("compression", "gzip").text(path)
 
 
+def inflated(content: bytes) -> bytes:
+    """The content of a gzip file of any number of members, such as one per record."""
+    out = []
+    while content:
+        member = zlib.decompressobj(wbits=47)
+        out += [member.decompress(content), member.flush()]
+        content = member.unused_data.lstrip(b"\0")
+    return b"".join(out)
+
+
+def digest_of(field: str) -> str:
+    """A SHA-1 in hex from ``sha1:`` and hex or base 32."""
+    value = field.removeprefix("sha1:")
+    return base64.b32decode(value).hex() if len(value) == 32 else value.lower()
+
+
 def parse(data: bytes) -> list[tuple]:
-    """(record id, type, digest, refers to, payload bytes, digest as read) of each record of one archive."""
+    """(record id, type, digest, refers to, payload bytes, digest as read) of the responses and revisits of an archive.
+
+    Records of other types are passed over. A response without a digest gets that of its payload.
+    """
     out, at = [], 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
         lines = data[at:end].decode("utf-8", "surrogatepass").split(LINE_END)
-        if lines[0] != VERSION:
+        if not lines[0].startswith(VERSION[:-1]):
             raise ValueError(f"no WARC record at byte {at}")
         fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines[1:])
         start = end + 4
         at = start + int(fields["Content-Length"])
-        block = data[start:at]
-        payload = block[block.index(b"\r\n\r\n") + 4 :]
         kind = fields["WARC-Type"]
-        whole = kind == "response"
-        out.append(
-            (
-                fields["WARC-Record-ID"],
-                kind,
-                fields["WARC-Payload-Digest"].removeprefix("sha1:"),
-                fields.get("WARC-Refers-To"),
-                len(payload) if whole else None,
-                hashlib.sha1(payload).hexdigest() if whole else None,
+        if kind in ("response", "revisit"):
+            block = data[start:at]
+            payload = block[block.index(b"\r\n\r\n") + 4 :]
+            whole = kind == "response"
+            seen = hashlib.sha1(payload).hexdigest() if whole else None
+            out.append(
+                (
+                    fields["WARC-Record-ID"],
+                    kind,
+                    digest_of(fields["WARC-Payload-Digest"]) if "WARC-Payload-Digest" in fields else seen,
+                    fields.get("WARC-Refers-To"),
+                    len(payload) if whole else None,
+                    seen,
+                )
             )
-        )
-        at += 4
+        while data[at : at + 1] in (b"\r", b"\n"):
+            at += 1
     return out
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every record under ``path``.
 
+    Files may have one gzip member or many; records other than responses and revisits are passed over.
     Revisits get their size from the original they refer to. A response whose payload does
     not have the digest of its header fails the job.
     """
     schema = "id string, record_type string, payload_digest string, target string, size long, seen string"
 
     def run(batches):
-        import zlib
-
         for batch in batches:
             for content in batch["content"]:
-                data = zlib.decompressobj(wbits=47).decompress(content)
-                rows = pd.DataFrame(parse(data), columns=["id", "record_type", "payload_digest", "target", "size", "seen"])
+                rows = pd.DataFrame(parse(inflated(content)), columns=["id", "record_type", "payload_digest", "target", "size", "seen"])
                 wrong = rows[rows["seen"].notna() & (rows["seen"] != rows["payload_digest"])]
                 if len(wrong):
                     raise ValueError(f"payload and digest differ: {wrong['id'].iloc[0]}")

@@ -50,3 +50,23 @@ def test_files_prune_by_their_ranges(spark, texts):
     assert sum(r["n_rows"] for r in files) == 800 and spark.read.parquet(path).count() == 800
     hit = [r for r in files if r["min_lang"] <= "l03" <= r["max_lang"] and r["min_n_chars"] <= 10]
     assert 0 < len(hit) <= len(files) / 4
+
+
+def test_texts_with_a_common_beginning_fall_apart(spark, texts):
+    docs = texts(["x"] * 400, langs=[f"https://www.commoncrawl.example/{i % 16:02d}" for i in range(400)])
+    rows = S.assign_shards(docs, ["lang"], ["doc_id"]).collect()
+    assert len({r["hilbert"] for r in rows}) >= 12
+    by_lang = {}
+    for r in rows:
+        by_lang.setdefault(r["lang"], set()).add(r["hilbert"])
+    assert all(len(v) == 1 for v in by_lang.values())
+    assert sorted(by_lang, key=lambda k: min(by_lang[k])) == sorted(by_lang, key=lambda k: (min(by_lang[k]), k))
+
+
+def test_no_column_is_lost(spark, texts):
+    docs = texts(["a", "b", None]).selectExpr("*", "doc_id * 2 AS `_part`", "'r' AS `_rank`", "7 AS `slot`", "8 AS `FILE`")
+    out = S.assign_shards(docs, ["lang", "shard"], ["doc_id"])
+    rows = out.collect()
+    assert set(docs.columns) - {"shard", "hilbert", "slot", "FILE"} <= set(out.columns)
+    assert {"shard_", "hilbert_", "slot_", "FILE_", "shard", "hilbert", "slot", "file"} <= set(out.columns)
+    assert [r["slot_"] for r in rows] == [7] * 3 and sorted(r["_part"] for r in rows) == [0, 2, 4]

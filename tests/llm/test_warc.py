@@ -58,3 +58,23 @@ def test_files_are_warc(spark):
     assert len(W.parse(data)) == 2
     with pytest.raises(ValueError):
         W.parse(b"HTTP/1.1 200\r\n\r\n")
+
+
+def test_members_and_other_records(spark, tmp_path):
+    def record(kind, key, block, digest=None):
+        head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:page:{key}>\r\n"
+        head += f"WARC-Payload-Digest: {digest}\r\n" if digest else ""
+        return (head + f"Content-Length: {len(block)}\r\n\r\n").encode() + block + b"\r\n\r\n"
+
+    import base64
+
+    http = b"HTTP/1.1 200 OK\r\n\r\n"
+    body = b"b" * 1500
+    base32 = "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+    parts = [record("warcinfo", 0, b"software: x"), record("response", 1, http + body, base32), record("request", 2, b"GET /"),
+             record("response", 3, http + b"c"), record("metadata", 4, b""), record("response", 5, http)]
+    (tmp_path / "many.warc.gz").write_bytes(b"".join(gzip.compress(p) for p in parts))
+    (tmp_path / "one.warc.gz").write_bytes(gzip.compress(b"".join(parts).replace(b"page:", b"page:1")))
+    got = sorted((r["page_id"], r["payload_bytes"], r["payload_digest"]) for r in W.read_archives(spark, str(tmp_path)).collect())
+    want = [(k, len(x), hashlib.sha1(x).hexdigest()) for k, x in ((1, body), (3, b"c"), (5, b""), (11, body), (13, b"c"), (15, b""))]
+    assert got == want
