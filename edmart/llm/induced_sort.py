@@ -77,47 +77,54 @@ def suffix_types(text: np.ndarray) -> np.ndarray:
     return text < after[change]
 
 
-def words_at(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Four symbols of 16 bits from each position as one number, the first one highest."""
-    out = padded[at].astype(np.uint64)
-    for k in range(1, 4):
-        out = (out << np.uint64(16)) | padded[at + k].astype(np.uint64)
-    return out
+class Words:
+    """The symbols of a text as numbers of eight bytes, the first symbol highest: eight symbols of one byte or four of two."""
 
+    def __init__(self, text: np.ndarray, cap: int):
+        kind = np.dtype(">u1" if not len(text) or int(text.max()) < 256 else ">u2")
+        self.bits, self.width = 8 * kind.itemsize, 8 // kind.itemsize
+        symbols = np.concatenate([text, np.zeros(cap + 8, dtype=text.dtype)]).astype(kind)
+        # overlapping numbers, one from each symbol on
+        n = len(symbols) - self.width + 1
+        self.numbers = np.ndarray((n,), dtype=">u8", buffer=symbols.tobytes(), strides=(kind.itemsize,))
 
-def common_prefix(padded: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Symbols that the suffixes at ``a`` and ``b`` share, up to ``cap``, four at a time."""
+    def at(self, places: np.ndarray) -> np.ndarray:
+        return self.numbers[places].astype(np.uint64)
+
+
+def common_prefix(words: Words, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
+    """Symbols that the suffixes at ``a`` and ``b`` share, up to ``cap``, a word at a time."""
     out = np.zeros(len(a), dtype=np.int64)
     live = np.arange(len(a))
-    for done in range(0, cap, 4):
+    for done in range(0, cap, words.width):
         if not len(live):
             break
-        x, y = words_at(padded, a[live] + done), words_at(padded, b[live] + done)
-        same = x == y
-        diff = x ^ y
-        extra = (
-            (diff >> np.uint64(48) == 0).astype(np.int64)
-            + (diff >> np.uint64(32) == 0)
-            + (diff >> np.uint64(16) == 0)
-        )
-        out[live] = done + np.where(same, 4, extra)
+        diff = words.at(a[live] + done) ^ words.at(b[live] + done)
+        same = diff == 0
+        extra = np.zeros(len(live), dtype=np.int64)
+        for k in range(1, words.width):
+            extra += diff >> np.uint64(64 - k * words.bits) == 0
+        out[live] = done + np.where(same, words.width, extra)
         live = live[same]
     return np.minimum(out, cap)
 
 
-def sort_by_words(padded: np.ndarray, suffixes: np.ndarray, cap: int) -> np.ndarray:
+def sort_by_words(words: Words, suffixes: np.ndarray, cap: int) -> np.ndarray:
     """``suffixes`` in order of their first ``cap`` symbols; only ties go on to the next word."""
     order = suffixes.copy()
     lo, group = np.arange(len(order)), np.zeros(len(order), dtype=np.int64)
-    for done in range(0, cap, 4):
+    for done in range(0, cap, words.width):
         if not len(lo):
             break
         at = order[lo]
-        word = words_at(padded, at + done)
-        by = np.lexsort((word, group))
-        order[lo] = at[by]
-        word, group = word[by], group[by]
-        new = np.append(True, (word[1:] != word[:-1]) | (group[1:] != group[:-1]))
+        word = words.at(at + done)
+        # where most ties last, they mostly stand in order already
+        new = np.append(True, group[1:] != group[:-1])
+        if ((word[1:] < word[:-1]) & ~new[1:]).any():
+            by = np.lexsort((word, group))
+            order[lo] = at[by]
+            word = word[by]
+        new[1:] |= word[1:] != word[:-1]
         ids = np.cumsum(new) - 1
         tied = np.bincount(ids)[ids] > 1
         lo, group = lo[tied], ids[tied]
@@ -194,20 +201,20 @@ def sorted_suffixes(text: np.ndarray, cap: int, memory_bytes: int = MEMORY_BYTES
     n = len(text)
     if n == 0:
         return
-    padded = np.concatenate([text, np.zeros(cap + 8, dtype=text.dtype)]).astype(np.uint16)
+    words = Words(text, cap)
     wide = text.astype(np.int64)
     is_s = suffix_types(wide)
     stars = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
-    stars = sort_by_words(padded, stars, cap)
+    stars = sort_by_words(words, stars, cap)
     shared = np.zeros(len(stars), dtype=np.int16)
     if len(stars) > 1:
-        shared[1:] = common_prefix(padded, stars[:-1], stars[1:], cap)
+        shared[1:] = common_prefix(words, stars[:-1], stars[1:], cap)
     bounds = np.searchsorted(wide[stars], np.arange(SYMBOLS + 1))
 
     def seam(last: int | None, first: int) -> np.int16:
         if last is None:
             return np.int16(0)
-        return np.int16(common_prefix(padded, np.array([last]), np.array([first]), cap)[0])
+        return np.int16(common_prefix(words, np.array([last]), np.array([first]), cap)[0])
 
     # L suffixes in rising order, kept by first symbol
     rising = Induction(wide, is_s, False, cap, memory_bytes)

@@ -183,7 +183,13 @@ def hot_spans(candidates: DataFrame, length: int) -> DataFrame:
     window = F.expr(f"substring(data, s + 1, {length})")
     each = each.select("key", "content", "s", F.xxhash64(window).alias("w1"), F.xxhash64(F.lit(1), window).alias("w2"))
     twice = each.groupBy("w1", "w2").agg(F.count("*").alias("n")).filter("n > 1").select("w1", "w2")
-    return lookup_join(each, twice, ["w1", "w2"]).select("key", "content", "s", (F.col("s") + length).alias("e"))
+    hits = lookup_join(each, twice, ["w1", "w2"]).groupBy("key", "content")
+    hits = hits.agg(F.array_sort(F.collect_set("s")).alias("at"))  # at most one per byte of the piece
+    # windows that overlap or touch make one span
+    heads = F.filter("at", lambda s, i: F.coalesce(s - F.get(F.col("at"), i - 1) > length, F.lit(True)))
+    tails = F.filter("at", lambda s, i: F.coalesce(F.get(F.col("at"), i + 1) - s > length, F.lit(True)))
+    runs = hits.select("key", "content", F.explode(F.arrays_zip(heads.alias("s"), tails.alias("t"))).alias("run"))
+    return runs.select("key", "content", F.col("run.s").alias("s"), (F.col("run.t") + length).alias("e"))
 
 
 def repeated_spans(
