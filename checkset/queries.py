@@ -1205,3 +1205,21 @@ def scd2_snapshot(t):
     old = rows.filter("cleaned_name LIKE '%th%'").withColumn("course_description", F.lower("course_description"))
     opened = history.start_history(old, F.lit("2025-01-01 00:00:00"))
     return _times_as_text(history.scd2(opened, rows, "history_key", watched, _now()))
+
+
+@query(
+    """, states AS (SELECT log_source_id, CAST(date_trunc('day', log_ts) AS DATE) AS day, max(log_stage) AS top, count(*) AS n
+  FROM logs GROUP BY ALL),
+starts AS (SELECT * FROM states QUALIFY lag(top) OVER (PARTITION BY log_source_id ORDER BY day) IS DISTINCT FROM top
+  OR row_number() OVER (PARTITION BY log_source_id ORDER BY day) = 1)
+SELECT log_source_id, top, n, CAST(day AS VARCHAR) AS valid_from,
+  CAST(lead(day) OVER (PARTITION BY log_source_id ORDER BY day) AS VARCHAR) AS valid_to FROM starts""",
+    ("logs",),
+)
+def history_from_states(t):
+    """The highest stage of each source, day by day, as a history; ``n`` is that of a version's first day."""
+    states = t.logs.groupBy("log_source_id", F.to_date("log_ts").alias("day")).agg(
+        F.max("log_stage").alias("top"), F.count("*").alias("n")
+    )
+    found = history.from_states(states, "log_source_id", "day", ["top"])
+    return found.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("valid_from", "valid_to")})

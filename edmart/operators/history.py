@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edmart.functions.text import concat_nulls_empty
+from edmart.functions.text import concat_nulls_empty, row_digest
 from edmart.operators.lineage import cut_if_computed
 from edmart.operators.merge import failing, repeated_key
 
@@ -66,3 +66,31 @@ def scd2(history: DataFrame, current: DataFrame, key: str, check_cols: Sequence[
     out = closed.select(*live.columns).unionByName(live)
     problem = F.coalesce(repeated_key(current, [key], "current rows"), repeated_key(open_rows, [key], "open history"))
     return out.unionByName(failing(current.sparkSession, problem, out))
+
+
+def from_states(states: DataFrame, key: str, at: str, check_cols: Sequence[str]) -> DataFrame:
+    """The history that ``scd2`` gives after one state after the other, from one pass over all of them.
+
+    ``states`` holds the rows of every state, dated by ``at``. A run of states of a key with equal ``check_cols`` is one
+    version: it has the other columns of its first state, begins at that date and ends where the next version begins. A key that a
+    state lacks keeps its version. Keys must be unique in each state (the job fails otherwise). Only dates and
+    digests of a key's states meet; whole rows are then read for the first state of each version.
+    """
+    marks = states.select(F.col(key), F.struct(F.col(at).cast("timestamp").alias("at"), row_digest(*check_cols).alias("digest")).alias("mark"))
+    # as many marks as states
+    kept = marks.groupBy(key).agg(F.array_sort(F.collect_list("mark")).alias("marks"))
+    dates = F.transform("marks", lambda m: m["at"])
+    message = F.concat(F.lit("a state has several rows for key "), F.coalesce(F.col(key).cast("string"), F.lit("NULL")))
+    unique = F.when(F.size(F.array_distinct(dates)) == F.size(dates), F.col("marks")).otherwise(F.raise_error(message))
+    kept = kept.select(key, unique.alias("marks"))
+    first = F.filter(
+        "marks", lambda m, i: (i == 0) | ~m["digest"].eqNullSafe(F.get(F.col("marks"), i - 1)["digest"])
+    )
+    kept = kept.select(key, F.transform(first, lambda m: m["at"]).alias("starts"))
+    versions = F.transform(
+        "starts", lambda s, i: F.struct(s.alias("valid_from"), F.get(F.col("starts"), i + 1).alias("valid_to"))
+    )
+    spans = kept.select(F.col(key).alias("_key"), F.explode(versions).alias("v")).select("_key", "v.*")
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col(at).cast("timestamp") == F.col("valid_from"))
+    columns = [c for c in states.columns if c != at]
+    return states.join(spans, same).select(*columns, "valid_from", "valid_to")

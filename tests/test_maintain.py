@@ -268,3 +268,25 @@ def test_every_declared_reference_has_a_parent():
     for table in schemas.TABLES.values():
         for key, (parent, parent_key, _) in table.foreign_keys.items():
             assert key in table.names and parent_key in schemas.TABLES[parent].names
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_history_of_many_states_equals_one_after_the_other(frame, seed):
+    import random
+
+    rnd = random.Random(seed)
+    schema = "k string, a string, b int, note string"
+    states = [
+        [(k, rnd.choice(["x", "y", None]), rnd.randint(0, 1), f"{k}{day}") for k in ["p", "q", "r", "s", None] if k != "s" or day % 3]
+        for day in range(10)
+    ]
+    dated = frame([(f"2024-01-{day + 1:02} 00:00:00", *r) for day, rows_ in enumerate(states) for r in rows_], "day string, " + schema)
+    got = history.from_states(dated.withColumn("day", F.col("day").cast("timestamp")), "k", "day", ["a", "b"])
+    want = None
+    for day, rows_ in enumerate(states):
+        now, current = F.lit(f"2024-01-{day + 1:02} 00:00:00").cast("timestamp"), frame([r for r in rows_ if r[0]], schema)
+        want = history.start_history(current, now) if want is None else history.scd2(want, current, "k", ["a", "b"], now)
+    assert rows(got.filter("k IS NOT NULL"), *want.columns) == rows(want)
+    assert got.filter("k IS NULL AND valid_to IS NULL").count() == 1
+    with pytest.raises(Exception, match="several rows for key p"):
+        history.from_states(dated.unionByName(dated.filter("k = 'p'").limit(1)), "k", "day", ["a"]).collect()
