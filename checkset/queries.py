@@ -1223,3 +1223,20 @@ def history_from_states(t):
     )
     found = history.from_states(states, "log_source_id", "day", ["top"])
     return found.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("valid_from", "valid_to")})
+
+
+@query(
+    f"""SELECT run_id, run_status, {_ts('CASE WHEN run_id % 3 > 0 THEN run_start_time END', 'run_start_time')},
+  {_ts('CASE WHEN run_id % 3 = 2 THEN run_end_time END', 'run_end_time')} FROM runs""",
+    ("runs",),
+)
+def load_versions(t):
+    """Runs stored in three versions: an old name and no times, then a start time, then all columns."""
+    spark, path = t.runs.sparkSession, _new_folder(t.runs.sparkSession, "versions")
+    third = lambda k: t.runs.filter(F.col("run_id") % 3 == k)
+    third(0).select("run_id", F.col("run_status").alias("state"), F.lit(1).alias("host")).write.parquet(f"{path}/version=1")
+    third(1).select("run_id", "run_status", "run_start_time").write.parquet(f"{path}/version=2")
+    third(2).select("run_id", "run_status", "run_start_time", "run_end_time").write.parquet(f"{path}/version=3")
+    steps = {1: schemas.Step(renames={"state": "run_status"}, drops=("host",)), 2: schemas.Step(adds={"run_end_time": None})}
+    found = tables.load_versions(spark, path, schemas.TABLES["runs"], steps, newest=3)
+    return _times_as_text(found.select("run_id", "run_status", "run_start_time", "run_end_time"))

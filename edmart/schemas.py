@@ -359,6 +359,41 @@ def conform(
     return df.select(*out)
 
 
+# Numbers that hold every value of a smaller kind, smallest first.
+_WIDER = ("tinyint", "smallint", "int", "bigint")
+
+
+def type_faults(df: DataFrame, schema: Table | T.StructType) -> list[str]:
+    """Columns whose stored type cannot become the declared one without losing values; texts are left to the row checks."""
+    faults = []
+    for f in (schema.struct if isinstance(schema, Table) else schema).fields:
+        if f.name not in df.columns:
+            continue
+        have, want = df.schema[f.name].dataType.simpleString(), f.dataType.simpleString()
+        whole = have in _WIDER
+        wider = whole and want in _WIDER and _WIDER.index(have) <= _WIDER.index(want)
+        # four decimals leave six digits before the point
+        holds = want in ("double", "decimal(10,4)") and have in ("tinyint", "smallint")
+        plain = have in ("string", "void") or want == "string" or (have == "float" and want == "double")
+        days = have in ("date", "timestamp_ntz") and want == "timestamp"
+        if not (have == want or wider or holds or plain or days or (have == "int" and want == "double")):
+            faults.append(f"{f.name} is {have}, declared {want}")
+    return faults
+
+
+@dataclass(frozen=True)
+class Step:
+    """What a new version of a stored table changes: columns renamed, added with a value, dropped."""
+
+    renames: Mapping[str, str] = field(default_factory=dict)
+    adds: Mapping[str, object] = field(default_factory=dict)
+    drops: tuple[str, ...] = ()
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        df = df.withColumnsRenamed(dict(self.renames)).drop(*self.drops)
+        return df.withColumns({c: F.lit(v) for c, v in self.adds.items() if c not in df.columns}) if self.adds else df
+
+
 def require_batch(df: DataFrame, batch: str) -> DataFrame:
     """Check that a batch argument has the declared columns, and give them their types."""
     struct = BATCHES[batch]

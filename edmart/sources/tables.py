@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from edmart import schemas
@@ -29,11 +30,18 @@ class Tables(Mapping[str, DataFrame]):
         cls, spark: SparkSession, directory: str, names: Iterable[str] = SOURCE_TABLES,
         format: str = "parquet", views: bool = False, suffix: str = "",
     ) -> Tables:
-        """One table per file or sub-directory ``<name><suffix>`` of ``directory``."""
+        """One table per file or sub-directory ``<name><suffix>`` of ``directory``.
+
+        Declared tables get their declared columns and types, and keep what they have besides; a stored type that cannot
+        become the declared one fails here, not in some later query.
+        """
         frames = {}
         for name in names:
             path = f"{directory.rstrip('/')}/{name}{suffix}"
-            frames[name] = spark.read.format(format).load(path)
+            df = spark.read.format(format).load(path)
+            if name in schemas.TABLES:
+                df = fitted(df, schemas.TABLES[name])
+            frames[name] = df
             if views:
                 frames[name].createOrReplaceTempView(name)
         return cls(frames)
@@ -57,6 +65,38 @@ class Tables(Mapping[str, DataFrame]):
         return len(self._frames)
 
 
+def fitted(df: DataFrame, table: schemas.Table) -> DataFrame:
+    """``df`` with the declared columns and types first; fails on a type that would lose values."""
+    faults = schemas.type_faults(df, table)
+    if faults:
+        raise ValueError(f"{table.name}: {'; '.join(faults)}")
+    return schemas.conform(df, table, keep_extra=True)
+
+
+def load_versions(
+    spark: SparkSession, path: str, table: schemas.Table, steps: Mapping[int, schemas.Step], newest: int
+) -> DataFrame:
+    """All rows of a table whose versions lie in folders ``version=<number>`` of ``path``, as the newest version.
+
+    ``steps[n]`` leads from version n to n + 1. Old files are never rewritten: each folder is read with its own
+    columns, goes through the steps that are missing, and is fitted to the declaration. A version without a folder
+    has no rows.
+    """
+    out = spark.createDataFrame([], table.struct)
+    for version in range(1, newest + 1):
+        try:
+            df = spark.read.parquet(f"{path.rstrip('/')}/version={version}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        for n in range(version, newest):
+            if n in steps:
+                df = steps[n].apply(df)
+        out = out.unionByName(fitted(df, table).select(*table.struct.names))
+    return out
+
+
 def load_seed(
     spark: SparkSession, name: str, path: str | None = None, into: DataFrame | None = None
 ) -> DataFrame:

@@ -231,3 +231,22 @@ def test_seeds_tables_and_marts(spark, frame, tmp_path):
         loaded.nothing
     mart = tables.save_mart(into.withColumn("n", F.lit(1)), "mart_view", str(tmp_path / "mart"))
     assert rows(mart) == rows(spark.table("mart_view")) == [("1", "stored", 1)]
+
+
+def test_stored_tables_get_their_declared_types(spark, frame, tmp_path):
+    frame([("1", 1, "a")], "taxonomy_id string, extra int, taxonomy_description string").write.parquet(str(tmp_path / "taxonomy01"))
+    loaded = tables.Tables.load(spark, str(tmp_path), ["taxonomy01"]).taxonomy01
+    assert loaded.columns[-1] == "extra" and set(schemas.TABLES["taxonomy01"].struct.names) <= set(loaded.columns)
+    frame([(1, 2**40)], "run_status int, run_id bigint").write.parquet(str(tmp_path / "runs"))
+    with pytest.raises(ValueError, match="run_id is bigint, declared int"):
+        tables.Tables.load(spark, str(tmp_path), ["runs"])
+
+
+def test_versions_read_as_the_newest(spark, frame, tmp_path):
+    path, table = str(tmp_path / "runs"), schemas.TABLES["runs"]
+    frame([(1, "done", 7)], "run_id int, state string, host int").write.parquet(f"{path}/version=1")
+    frame([(3, "open")], "run_id smallint, run_status string").write.parquet(f"{path}/version=3")
+    steps = {1: schemas.Step(renames={"state": "run_status"}, drops=("host",)), 2: schemas.Step()}
+    got = tables.load_versions(spark, path, table, steps, newest=3)
+    assert got.columns == table.struct.names
+    assert rows(got, "run_id", "run_status") == [(1, "done"), (3, "open")]
