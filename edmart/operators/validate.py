@@ -86,8 +86,8 @@ def combine_duplicates(rows: DataFrame, keys: Sequence[str], measure: str, on_du
 
 
 def _report(rows: DataFrame, extracted: Column, skipped: Column) -> DataFrame:
-    """Counters per table and year over pre-counted rows (column n)."""
-    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    """Counters per table and year; ``extracted`` and ``skipped`` are the rows that one row of ``rows`` stands for."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return rows.groupBy("table_name", "report_year").agg(
         total(extracted).alias("extracted"), total(skipped).alias("skipped")
     )
@@ -98,24 +98,64 @@ def _mark_known(rows: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFr
     return rows.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
-def completions_report(rows: DataFrame, universities: DataFrame, programs: DataFrame) -> DataFrame:
-    """Extracted and skipped rows per table; every rejected row counts as skipped.
+def graded_completions(rows: DataFrame, universities: DataFrame, programs: DataFrame) -> DataFrame:
+    """All rows of the scan summed per table and key, with what the batch and the counters both need.
 
-    Rows are counted per key, with the code as written, before any code is parsed or joined.
+    ``n`` rows, ``n_measurable`` of them with a loaded level and a count, the sum of those, and whether
+    unit and code are known. Rows collapse to keys, code as written, before any code is parsed or joined.
     """
-    counted = (
-        rows.select(
-            "table_name", "report_year", "unitid", "cipcode",
-            F.coalesce(_is_measurable(), F.lit(False)).alias("measurable"),
-        )
-        .groupBy("table_name", "report_year", "unitid", "cipcode", "measurable")
-        .agg(F.count("*").alias("n"))
-        .transform(_with_exact_code)
+    measurable = F.coalesce(_is_measurable(), F.lit(False))
+    sums = rows.groupBy("table_name", *COMPLETION_KEYS).agg(
+        F.count("*").alias("n"),
+        F.count_if(measurable).alias("n_measurable"),
+        F.sum(F.when(measurable, F.col("total_completions"))).alias("total_completions"),
     )
     codes = programs.select(F.col("cipcode").cast(cip.CIP_EXACT_TYPE).alias("cipcode"))
-    marked = _mark_known(_mark_known(counted, universities, "unitid", "unit_ok"), codes, "cipcode", "code_ok")
-    good = F.col("measurable") & F.col("unit_ok") & F.col("code_ok")
-    return _report(marked, good, ~good)
+    marked = _mark_known(_with_exact_code(sums), universities, "unitid", "unit_ok")
+    return _mark_known(marked, codes, "cipcode", "code_ok")
+
+
+def batch_of_graded(graded: DataFrame) -> DataFrame:
+    """The batch ``completions_batch`` gives, from ``graded_completions``."""
+    good = graded.filter(F.col("unit_ok") & F.col("code_ok") & (F.col("n_measurable") > 0))
+    return aggregate_completions(good.withColumn("cipcode", F.col("cipcode").cast(cip.CIP_TYPE)))
+
+
+def report_of_graded(graded: DataFrame) -> DataFrame:
+    """Extracted and skipped rows per table, from ``graded_completions``."""
+    extracted = F.when(F.col("unit_ok") & F.col("code_ok"), F.col("n_measurable")).otherwise(F.lit(0))
+    return _report(graded, extracted, F.col("n") - extracted)
+
+
+def completions_report(rows: DataFrame, universities: DataFrame, programs: DataFrame) -> DataFrame:
+    """Extracted and skipped rows per table; every rejected row counts as skipped."""
+    return report_of_graded(graded_completions(rows, universities, programs))
+
+
+def graded_measures(rows: DataFrame, universities: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """All rows of the scan with ``present``, ``unreadable`` and ``unit_ok``, for the batch and the counters."""
+    present = F.lit(True)
+    for c in columns:
+        present = present & F.col(c).isNotNull()
+    unreadable = F.col("unreadable") if "unreadable" in rows.columns else F.lit(False)
+    flagged = rows.select(
+        "table_name", "report_year", "unitid", *columns, present.alias("present"), unreadable.alias("unreadable")
+    )
+    known = universities.select("unitid").distinct().withColumn("unit_ok", F.lit(True))
+    marked = lookup_join(flagged, known, "unitid", "left", spread=columns)
+    return marked.withColumn("unit_ok", F.coalesce("unit_ok", F.lit(False)))
+
+
+def valid_of_graded(graded: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The rows ``valid_gradrates`` or ``valid_enrollment`` give, from ``graded_measures``."""
+    return graded.filter(F.col("unit_ok") & F.col("present")).select("report_year", "unitid", *columns)
+
+
+def report_of_measures(graded: DataFrame) -> DataFrame:
+    """Counters of ``measures_report``, from ``graded_measures``."""
+    one = lambda c: F.when(c, F.lit(1)).otherwise(F.lit(0))
+    unit_ok = F.col("unit_ok")
+    return _report(graded, one(unit_ok & F.col("present")), one(~unit_ok | F.col("unreadable")))
 
 
 def measures_report(rows: DataFrame, universities: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -134,5 +174,6 @@ def measures_report(rows: DataFrame, universities: DataFrame, columns: Sequence[
         .agg(F.count("*").alias("n"))
     )
     marked = _mark_known(counted, universities, "unitid", "unit_ok")
+    n = lambda c: F.when(c, F.col("n")).otherwise(F.lit(0))
     unit_ok = F.col("unit_ok")
-    return _report(marked, unit_ok & F.col("present"), ~unit_ok | F.col("unreadable"))
+    return _report(marked, n(unit_ok & F.col("present")), n(~unit_ok | F.col("unreadable")))

@@ -1,7 +1,8 @@
 """Yearly survey loads: scan, validate, merge. Nothing is written before the whole batch is valid.
 
-The validated batch is far smaller than the survey rows and is read several times
-by the merge, so it is stored once where the session has a checkpoint folder.
+Batch and counters come from one reading of the survey tables: rows are graded once, stored in the
+checkpoint folder, and both are derived from that. Metrics of a running job (``observe``) would not do:
+they count the tasks of a lost executor twice.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from edmart import schemas
 from edmart.operators import merge, validate
-from edmart.operators.lineage import cut
+from edmart.operators.lineage import cut, cut_if_computed
 from edmart.sources.survey import SurveyScan, scan_survey
 from edmart.sources.tables import by_partition
 
@@ -28,6 +29,17 @@ class Load(NamedTuple):
     scan: SurveyScan
 
 
+def _graded_load(
+    scan: SurveyScan, universities: DataFrame, columns: Sequence[str], on_duplicate: str
+) -> tuple[DataFrame, DataFrame]:
+    """Batch and counters of a survey of one label and one measure."""
+    graded = cut(validate.graded_measures(scan.rows, universities, columns))
+    label, measure = columns
+    rows = validate.valid_of_graded(graded, columns)
+    batch = validate.combine_duplicates(rows, ["report_year", "unitid", label], measure, on_duplicate)
+    return cut_if_computed(batch), validate.report_of_measures(graded)
+
+
 def load_gradrates(
     spark: SparkSession, directory: str, universities: DataFrame, target: DataFrame,
     on_duplicate: str = "error", **scan_options,
@@ -36,9 +48,7 @@ def load_gradrates(
 
 
 def merge_gradrates(scan: SurveyScan, universities: DataFrame, target: DataFrame, on_duplicate: str = "error") -> Load:
-    rows = validate.valid_gradrates(scan.rows, universities)
-    batch = cut(validate.combine_duplicates(rows, ["report_year", "unitid", "grtype"], "grtotlt", on_duplicate))
-    report = validate.measures_report(scan.rows, universities, ["grtype", "grtotlt"])
+    batch, report = _graded_load(scan, universities, ["grtype", "grtotlt"], on_duplicate)
     return Load(merge.upsert_gradrates(target, batch), batch, report, scan)
 
 
@@ -50,10 +60,7 @@ def load_enrollment(
 
 
 def merge_enrollment(scan: SurveyScan, universities: DataFrame, target: DataFrame, on_duplicate: str = "error") -> Load:
-    rows = validate.valid_enrollment(scan.rows, universities)
-    keys = ["report_year", "unitid", "student_level"]
-    batch = cut(validate.combine_duplicates(rows, keys, "total_headcount", on_duplicate))
-    report = validate.measures_report(scan.rows, universities, ["student_level", "total_headcount"])
+    batch, report = _graded_load(scan, universities, ["student_level", "total_headcount"], on_duplicate)
     return Load(merge.upsert_enrollment(target, batch), batch, report, scan)
 
 
@@ -66,8 +73,8 @@ def load_completions(
 
 
 def merge_completions(scan: SurveyScan, universities: DataFrame, programs: DataFrame, target: DataFrame) -> Load:
-    batch = cut(validate.completions_batch(scan.rows, universities, programs))
-    report = validate.completions_report(scan.rows, universities, programs)
+    graded = cut(validate.graded_completions(scan.rows, universities, programs))
+    batch, report = cut(validate.batch_of_graded(graded)), validate.report_of_graded(graded)
     return Load(merge.upsert_completions(target, batch), batch, report, scan)
 
 
