@@ -56,12 +56,15 @@ def distinct_course_counts(courses: DataFrame, sources: DataFrame) -> DataFrame:
     The two texts are digested before any shuffle. Distinct rows are shuffled on
     (name, digest), so one school's courses spread over all tasks.
     """
-    digests = courses.select(
-        F.col("course_source_id").alias("source_id"),
-        row_digest("course_title", "course_description").alias("digest"),
-    )
+    digest = row_digest("course_title", "course_description").alias("digest")
+    return distinct_digest_counts(courses.select("course_source_id", digest), sources)
+
+
+def distinct_digest_counts(digests: DataFrame, sources: DataFrame) -> DataFrame:
+    """``distinct_course_counts`` from digests (course_source_id, digest) made earlier."""
+    owned = digests.select(F.col("course_source_id").alias("source_id"), "digest")
     return (
-        lookup_join(digests, sources.select("source_id", "cleaned_name"), "source_id")
+        lookup_join(owned, sources.select("source_id", "cleaned_name"), "source_id")
         .select("cleaned_name", "digest")
         .distinct()
         .groupBy("cleaned_name")

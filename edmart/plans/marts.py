@@ -1,4 +1,7 @@
-"""Progress and performance marts over the operation tables. Results are lazy unless staged."""
+"""Progress and performance marts over the operation tables. Results are lazy unless staged.
+
+Courses count from ``course_digests`` where the tables have one (``operators.rollup``), else from ``courses``.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +10,7 @@ from pyspark.sql import functions as F
 
 from edmart.functions import messages as M
 from edmart.functions import times
-from edmart.operators.counts import count_per, distinct_course_counts, school_counts
+from edmart.operators.counts import count_per, distinct_course_counts, distinct_digest_counts, school_counts
 from edmart.operators.joins import lookup_join
 from edmart.operators.lineage import cut
 from edmart.operators.logtimes import school_log_summary, scrape_times
@@ -28,7 +31,10 @@ def summary_status(course_count: Column, last_scrape_ts: Column, url_count: Colu
 
 def _status(t: Tables) -> DataFrame:
     counts = school_counts(t.sources, t.scraper_schemas, t.urls)
-    courses = distinct_course_counts(t.courses, t.sources)
+    if "course_digests" in t:
+        courses = distinct_digest_counts(t.course_digests, t.sources)
+    else:
+        courses = distinct_course_counts(t.courses, t.sources)
     return counts.join(courses, "cleaned_name", "left").withColumn(
         "course_count", F.coalesce("course_count", F.lit(0))
     )
@@ -138,6 +144,13 @@ def _with_slots_log(rows: DataFrame, logs: DataFrame) -> DataFrame:
     return keyed.join(slots.unionByName(empty), key).drop(*key)
 
 
+def _courses_per_source(t: Tables) -> DataFrame:
+    key = F.col("course_source_id").alias("source_id")
+    if "course_digests" in t:
+        return t.course_digests.groupBy(key).agg(F.sum("n").alias("course_count"))
+    return t.courses.groupBy(key).agg(F.count("*").alias("course_count"))
+
+
 def _performance(t: Tables, fallback: bool, stage: bool) -> DataFrame:
     """One row per source with everything that is single per source, then the fan-out joins.
 
@@ -145,7 +158,7 @@ def _performance(t: Tables, fallback: bool, stage: bool) -> DataFrame:
     ``stage`` they are stored in the checkpoint folder first, which saves that pass.
     """
     urls = count_per(t.urls.withColumnRenamed("url_source_id", "source_id"), "source_id", "url_count")
-    courses = count_per(t.courses.withColumnRenamed("course_source_id", "source_id"), "source_id", "course_count")
+    courses = _courses_per_source(t)
     runs = t.runs.select(
         F.col("run_id").alias("max_run_id"), "run_id", "run_status", "run_start_time", "run_end_time"
     )

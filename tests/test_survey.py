@@ -250,3 +250,17 @@ def test_versions_read_as_the_newest(spark, frame, tmp_path):
     got = tables.load_versions(spark, path, table, steps, newest=3)
     assert got.columns == table.struct.names
     assert rows(got, "run_id", "run_status") == [(1, "done"), (3, "open")]
+
+
+def test_batch_and_counters_come_from_one_reading(spark, folder, units, programs, frame):
+    target = frame([], "completion_id bigint, report_year int, unitid int, cipcode decimal(10,4), award_level int, total_completions int")
+    load = loads.load_completions(spark, folder, units, programs, target)
+    grades = frame([], "graduationrate_id bigint, report_year int, unitid int, grtype smallint, grtotlt int")
+    rates = loads.load_gradrates(spark, folder, units, grades)
+    for df in (load.batch, load.report, load.facts, rates.batch, rates.report, rates.facts):
+        assert not [f for f in df.inputFiles() if folder in f]
+    raw = survey.scan_survey(spark, folder, "C_A").rows
+    assert rows(load.report) == rows(validate.completions_report(raw, units, programs))
+    assert rows(load.batch.select(*validate.COMPLETION_KEYS, "total_completions")) == rows(
+        validate.completions_batch(raw, units, programs).select(*validate.COMPLETION_KEYS, "total_completions")
+    )
