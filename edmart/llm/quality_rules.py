@@ -4,7 +4,7 @@ Multinomials over all hashed n-grams are counted, once over the documents that l
 once over all documents, for each of three kinds: the ends of words, every overlapping character
 4-gram, word borders included, and word pairs. A document's score is the mean of
 ``ln p_trusted(bucket) - ln p_raw(bucket)`` over all its n-grams, so long and short texts compare. The
-threshold is the cut between the scores of labelled good and labelled bad texts that puts the fewest
+threshold is the cut between the scores of all labelled good and all labelled bad texts that puts the fewest
 of them on the wrong side. Everything is built-in column functions.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from edmart.llm.shared import SPACES, free_names, let, stored, words
 
@@ -23,7 +24,6 @@ SPAN = 4
 WIDTH = 4 * SPAN  # bytes of a character n-gram at four bytes a character
 PIECE = 64  # n-grams of a line hashed from one value
 KINDS = 3
-SAMPLE = 2000  # labelled texts of each side whose scores set the threshold
 SYMBOLS = "#*$%&|<>"
 
 
@@ -172,63 +172,55 @@ def bucket_weights(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -
     return kinds.select(F.flatten(F.transform("kinds", lambda k: k["own"])).alias("weights"))
 
 
+def sides(labels: DataFrame) -> DataFrame:
+    """(doc_id, good) of all labelled texts with a side: bad ones have quality 0, good ones are trusted and not bad."""
+    bad = labels.filter("quality = 0").select("doc_id").distinct().withColumn("good", F.lit(False))
+    return trusted(labels).join(bad.hint("merge"), "doc_id", "left_anti").unionByName(bad)
+
+
 def best_cut(docs: DataFrame, labels: DataFrame, weights: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """One row, ``cut``: the score from which a text is kept.
+    """One row, ``cut``: the score from which a text is kept; every labelled text of ``docs`` with a side is scored."""
+    texts = docs.select("doc_id", "text").join(sides(labels).hint("merge"), "doc_id").withColumn("w", weights.scalar())
+    score = base_score(F.col("text"), F.col("w"), buckets)
+    return lowest_error_cut(stored(texts.select(score.alias("llr"), "good"), "quality-marks"))
 
-    The rule: of all cuts between two labelled scores the one with the fewest wrong labels, good texts below
-    it and bad ones above (the lowest of equals), half-way between its neighbours. Up to ``SAMPLE`` texts of
-    quality 0 and as many trusted ones are scored, those of the lowest id hash; each stands for its share of
-    the labels of its side, and counts if the base rules keep it. Without both sides, or where no cut is
-    better than none, it is minus infinity: only the base rules decide.
-    """
-    bad = labels.filter("quality = 0").select("doc_id").distinct().withColumn("good", F.lit(False))
-    good = trusted(labels).join(bad.hint("merge"), "doc_id", "left_anti")
-
-    def sample(side: DataFrame) -> DataFrame:
-        share = F.greatest(side.agg(F.count("*").alias("n")).scalar() / SAMPLE, F.lit(1.0))
-        return side.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE).withColumn("share", share)
-
-    # a bounded table
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample(bad).unionByName(sample(good))), "doc_id")
-    texts = texts.withColumn("w", weights.scalar())
-    scored = texts.select(
-        let(
-            measures(F.col("text"), F.col("w"), buckets),
-            lambda m: F.struct(m["llr"].alias("llr"), F.col("good"), F.col("share"), failed(m).alias("failed")),
-        ).alias("m")
-    ).filter("NOT m.failed")
-    sides = scored.agg(
-        F.array_sort(F.collect_list(F.struct("m.llr", "m.good", "m.share"))).alias("marks"),
-        F.count_if("m.good").alias("n_good"),
-        F.count_if(~F.col("m.good")).alias("n_bad"),
-    )
-    none = F.lit(float("-inf"))
 
-    def step(acc: Column, mark: Column) -> Column:
-        better = (mark["llr"] > acc["last"]) & (acc["gain"] > acc["best"])
-        return F.struct(
-            (acc["gain"] + F.when(mark["good"], -mark["share"]).otherwise(mark["share"])).alias("gain"),
-            mark["llr"].alias("last"),
-            F.when(better, acc["gain"]).otherwise(acc["best"]).alias("best"),
-            F.when(better, (mark["llr"] + acc["last"]) / 2).otherwise(acc["cut"]).alias("cut"),
-        )
+def cut_of_scores(scores: DataFrame, labels: DataFrame) -> DataFrame:
+    """``best_cut`` of texts that have their scores already: (doc_id, llr), ``llr`` as ``base_score`` gives it."""
+    return lowest_error_cut(stored(scores.join(sides(labels).hint("merge"), "doc_id").select("llr", "good"), "quality-marks"))
 
-    zero = F.lit(0.0)
-    start = F.struct(zero.alias("gain"), none.alias("last"), zero.alias("best"), none.alias("cut"))
-    found = F.aggregate("marks", start, step, lambda acc: acc["cut"])
-    return sides.select(
-        F.when((F.col("n_good") > 0) & (F.col("n_bad") > 0), found).otherwise(none).alias("cut")
-    )
 
+def lowest_error_cut(marks: DataFrame) -> DataFrame:
+    """One row, ``cut``, from the scores of all labelled texts (llr, good), those without a score left out.
 
-def learned(
-    docs: DataFrame, labels: DataFrame, buckets: int, threshold: float | None
-) -> tuple[DataFrame, Column]:
-    """The one-row table of weights, stored, and the threshold."""
-    weights = stored(bucket_weights(docs, labels, buckets), "ngram-weights")
-    if threshold is not None:
-        return weights, F.lit(threshold)
-    return weights, stored(best_cut(docs, labels, weights, buckets), "quality-cut").scalar()
+    The rule: of all cuts between two scores the one with the fewest wrong labels, good texts below it and bad
+    ones above (the lowest of equals), half-way between its neighbours. Without both sides, or where no cut is
+    better than none, it is minus infinity: only the base rules decide. The scores are sorted by a range
+    exchange and each part is counted on its own; only one row of each part meets the others.
+    """
+    steps = marks.filter("llr IS NOT NULL").groupBy("llr").agg(
+        (F.count_if(~F.col("good")) - F.count_if("good")).alias("net"), F.count_if("good").alias("n_good")
+    )
+    # written once: running counts need fixed parts
+    ranged = stored(steps.repartitionByRange("llr").withColumn("part", F.spark_partition_id()), "quality-steps")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranged.groupBy("part").agg(F.sum("net").alias("own"), F.max("llr").alias("highest"))
+    parts = parts.select(
+        "part",
+        F.coalesce(F.sum("own").over(earlier), F.lit(0)).alias("before"),
+        F.max("highest").over(earlier).alias("below"),
+    )
+    in_part = Window.partitionBy("part").orderBy("llr")
+    own = F.coalesce(F.sum("net").over(in_part.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    at = ranged.withColumns({"own": own, "last": F.lag("llr").over(in_part)}).join(F.broadcast(parts), "part")
+    last, gain = F.coalesce("last", "below"), F.col("before") + F.col("own")
+    half = (F.col("llr") + last) / 2
+    # between two neighbouring doubles there is no other
+    cut = F.when(half > last, half).otherwise(F.col("llr"))
+    best = F.max(F.when(gain > 0, F.struct(gain.alias("gain"), (-F.col("llr")).alias("low"), cut.alias("cut"))))
+    none = F.lit(float("-inf"))
+    found = at.agg(best.alias("best"), F.sum("n_good").alias("n_good"))
+    return found.select(F.when(F.col("n_good") > 0, F.coalesce("best.cut", none)).otherwise(none).alias("cut"))
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -298,6 +290,11 @@ def failed(m) -> Column:
     return (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEATED_PERCENT * m["n_words"])
 
 
+def base_score(text: Column, weights: Column, buckets: int) -> Column:
+    """The ``llr`` of a text that the base rules keep, else NULL; one expression, so that each text is measured once."""
+    return let(measures(text, weights, buckets), lambda m: F.when(~failed(m), m["llr"]))
+
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -308,11 +305,14 @@ def judge(
     buckets: int = BUCKETS,
     threshold: float | None = None,
     names: dict[str, str] | None = None,
+    with_text: bool = True,
 ) -> DataFrame:
     """``docs`` (with ``text``) and the rule counts, ``llr``, ``base_failed`` and ``kept`` of every row.
 
     ``corpus`` (doc_id, text) gives the raw multinomials; ``threshold`` stands in for
-    the learned cut. ``names`` renames result columns.
+    the learned cut. ``names`` renames result columns; ``with_text=False`` leaves ``text`` out of the result.
+    Where ``docs`` is ``corpus`` itself each text is scored once: the rows are stored with their scores
+    and the cut comes from those.
     NULL and empty texts have no words and fail the base rules. A NULL ``doc_id`` is judged
     like any other but never trusted; repeated rows are counted and judged each. ``llr`` is
     0 for a text without words. Other columns of ``docs`` pass through untouched.
@@ -320,21 +320,33 @@ def judge(
     names = {n: n for n in (*COUNTS, "llr", "base_failed", "kept")} | (names or {})
     w, m = free_names(docs, "_weights", "_measures")
     # a scalar subquery: one array of fixed size for all rows, no join
-    weights, cut = learned(corpus, labels, buckets, threshold)
+    weights = stored(bucket_weights(corpus, labels, buckets), "ngram-weights")
     df = docs.withColumn(w, weights.scalar())
     df = df.withColumn(m, measures(F.col("text"), F.col(w), buckets)).drop(w)
     df = df.withColumns({names[n]: F.col(m)[n] for n in (*COUNTS, "llr")}).drop(m)
     df = df.withColumn(names["base_failed"], failed({n: F.col(c) for n, c in names.items()}))
+    df = df if with_text else df.drop("text")
+    if threshold is not None:
+        cut = F.lit(threshold)
+    elif docs is corpus:
+        df = stored(df, "quality-scores")
+        of_base = F.when(~F.col(names["base_failed"]), F.col(names["llr"]))
+        cut = cut_of_scores(df.select("doc_id", of_base.alias("llr")), labels).scalar()
+    else:
+        cut = best_cut(corpus, labels, weights, buckets).scalar()
     return df.withColumn(names["kept"], ~F.col(names["base_failed"]) & (F.col(names["llr"]) >= cut))
 
 
 def keep_good(
     docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, threshold: float | None = None
 ) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps, columns unchanged."""
-    w, c = free_names(docs, "_weights", "_cut")
-    weights, cut = learned(docs, labels, buckets, threshold)
-    df = docs.withColumns({w: weights.scalar(), c: cut})
-    # one expression, so that a filter moved to the scan measures each text once
-    good = let(measures(F.col("text"), F.col(w), buckets), lambda m: ~failed(m) & (m["llr"] >= F.col(c)))
-    return df.filter(good).select(*docs.columns)
+    """The rows of ``docs`` that ``judge`` keeps, columns unchanged; each text is scored once and stored with its score."""
+    w, s = free_names(docs, "_weights", "_score")
+    weights = stored(bucket_weights(docs, labels, buckets), "ngram-weights")
+    df = docs.withColumn(w, weights.scalar())
+    scored = stored(df.withColumn(s, base_score(F.col("text"), F.col(w), buckets)).drop(w), "quality-scores")
+    if threshold is not None:
+        cut = F.lit(threshold)
+    else:
+        cut = cut_of_scores(scored.select("doc_id", F.col(s).alias("llr")), labels).scalar()
+    return scored.filter(F.col(s) >= cut).select(*docs.columns)

@@ -26,7 +26,7 @@ from edmart.llm.shared import table
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = quality_rules.judge(docs, docs, table(spark, sf_dir, "labels"))
+    judged = quality_rules.judge(docs, docs, table(spark, sf_dir, "labels"), with_text=False)
     return judged.select("doc_id", *quality_rules.COUNTS, "llr", "base_failed", "kept")
 
 
