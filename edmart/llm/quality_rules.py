@@ -23,6 +23,8 @@ ENDING = 3
 SPAN = 4
 WIDTH = 4 * SPAN  # bytes of a character n-gram at four bytes a character
 PIECE = 64  # n-grams of a line hashed from one value
+# Of as many n-grams one expression is the sum: generated methods stay short enough to be compiled (8,000 bytes).
+TERMS = 16
 KINDS = 3
 SYMBOLS = "#*$%&|<>"
 
@@ -50,14 +52,14 @@ def span_starts(line: Column) -> Column:
     return F.when(F.octet_length(line) >= WIDTH, F.sequence(F.lit(1), F.octet_length(line) - (WIDTH - 1), F.lit(4))).otherwise(none)
 
 
-def pieces(line: Column) -> Column:
-    """A line in pieces of up to ``PIECE`` n-grams; every n-gram lies in one piece, so pieces overlap.
+def pieces(line: Column, length: int = PIECE) -> Column:
+    """A line in pieces of up to ``length`` n-grams; every n-gram lies in one piece, so pieces overlap.
 
     The place of an n-gram is then found in a short value, however long the text is.
     """
-    size = F.lit(4 * PIECE + WIDTH - 4)
+    size = F.lit(4 * length + WIDTH - 4)
     none = F.array().cast("array<binary>")
-    starts = F.sequence(F.lit(1), F.octet_length(line) - (WIDTH - 1), F.lit(4 * PIECE))
+    starts = F.sequence(F.lit(1), F.octet_length(line) - (WIDTH - 1), F.lit(4 * length))
     cut = F.transform(starts, lambda i: F.substring(line, i, size))
     return F.when(F.octet_length(line) >= WIDTH, cut).otherwise(none)
 
@@ -67,13 +69,19 @@ def ending(token: Column) -> Column:
     return F.substring(token, -ENDING, ENDING)
 
 
+def remainder(gram: Column, buckets: int) -> Column:
+    """A hash modulo ``buckets``, 0 or more: its low bits where ``buckets`` is a power of two."""
+    low = buckets & (buckets - 1) == 0
+    return gram.bitwiseAND(F.lit(buckets - 1)) if low else F.pmod(gram, F.lit(buckets))
+
+
 def bucket(gram: Column, buckets: int) -> Column:
-    return F.pmod(gram, F.lit(buckets)).cast("int")
+    return remainder(gram, buckets).cast("int")
 
 
 def span_bucket(line: Column, start: Column, buckets: int) -> Column:
     """The bucket of the character n-gram at a place: a 32-bit hash does, and there are as many of them as characters."""
-    return F.pmod(F.hash(F.substring(line, start, F.lit(WIDTH))), F.lit(buckets))
+    return remainder(F.hash(F.substring(line, start, F.lit(WIDTH))), buckets)
 
 
 def word_buckets(tokens: Column, pairs: Column, buckets: int) -> Column:
@@ -94,7 +102,7 @@ def bucket_counts(texts: DataFrame, buckets: int) -> DataFrame:
 
     def parts(tokens: Column, pairs: Column) -> Column:
         lines = F.transform(
-            let(bordered(tokens), pieces),
+            let(bordered(tokens), lambda line: pieces(line)),
             lambda p: F.struct(p.alias("piece"), F.array().cast("array<int>").alias("own")),
         )
         own = F.struct(F.lit(None).cast("binary").alias("piece"), word_buckets(tokens, pairs, buckets).alias("own"))
@@ -110,6 +118,26 @@ def bucket_counts(texts: DataFrame, buckets: int) -> DataFrame:
     return each.groupBy(key).agg(F.count("*").alias("raw"), F.count_if("good").alias("trusted"))
 
 
+def word_weight(tokens: Column, pairs: Column, weights: Column, buckets: int) -> Column:
+    """The summed weight of all word ends and word pairs; ``weights`` is a lambda's variable, as in ``mean_weight``."""
+
+    def of(values: Column, place) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda acc, g: acc + F.get(weights, place(g)))
+
+    ends = of(tokens, lambda t: bucket(F.xxhash64(ending(t)), buckets))
+    return ends + of(pairs, lambda h: bucket(h, buckets) + F.lit(2 * buckets))
+
+
+def piece_weight(piece: Column, weights: Column, buckets: int) -> Column:
+    """The summed weight of up to ``TERMS`` character n-grams of a piece, 0 for NULL, written out for generated code."""
+    zero = F.lit(0.0)
+    total = zero
+    for k in range(TERMS):
+        own = F.get(weights, span_bucket(piece, F.lit(4 * k + 1), buckets) + F.lit(buckets))
+        total = total + F.when(F.octet_length(piece) >= 4 * k + WIDTH, own).otherwise(zero)
+    return total
+
+
 def mean_weight(tokens: Column, pairs: Column, weights: Column, buckets: int) -> Column:
     """The mean weight of all n-grams; each is hashed and weighed in one step, no list of buckets is built.
 
@@ -225,8 +253,16 @@ def lowest_error_cut(marks: DataFrame) -> DataFrame:
 
 def duplicate_lines(text: Column) -> Column:
     """Lines with a word that equal an earlier line."""
-    filled = F.filter(F.split(text, "\n"), lambda line: F.octet_length(F.btrim(line, F.lit(SPACES))) > 0)
-    return let(filled, lambda lines: F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
+
+    def repeats(lines: Column) -> Column:
+        return F.size(lines) - F.size(F.array_distinct(lines))
+
+    def filled(lines: Column) -> Column:
+        return F.filter(lines, lambda line: F.octet_length(F.btrim(line, F.lit(SPACES))) > 0)
+
+    # only texts that repeat a line, empty ones included, pay for the search for words
+    of_all = let(F.split(text, "\n"), lambda lines: F.when(repeats(lines) > 0, let(filled(lines), repeats)).otherwise(F.lit(0)))
+    return of_all.cast("long")
 
 
 def repeated_words(pairs: Column) -> Column:
@@ -263,8 +299,8 @@ def repeated_words(pairs: Column) -> Column:
     )
 
 
-def measures(text: Column, weights: Column, buckets: int) -> Column:
-    """All figures of one text as a struct; the text is split into words once."""
+def counted(text: Column, more) -> Column:
+    """The counts of one text and the columns ``more(tokens, pairs)`` as a struct; the text is split into words once."""
     whole = F.coalesce(text, F.lit(""))
     symbols = F.regexp_count(whole, F.lit("[" + SYMBOLS + "]"))
 
@@ -278,13 +314,57 @@ def measures(text: Column, weights: Column, buckets: int) -> Column:
                 symbols.cast("long").alias("n_symbols"),
                 duplicate_lines(whole).alias("n_dup_lines"),
                 repeated_words(pairs).alias("n_repeat_words"),
-                let(weights, lambda w: mean_weight(tokens, pairs, w, buckets)).alias("llr"),
+                *more(tokens, pairs),
             ),
         )
 
     return let(words(text), of)
 
 
+def measures(text: Column, weights: Column, buckets: int) -> Column:
+    """All figures of one text as a struct."""
+
+    def score(tokens: Column, pairs: Column) -> list[Column]:
+        return [let(weights, lambda w: mean_weight(tokens, pairs, w, buckets)).alias("llr")]
+
+    return counted(text, score)
+
+
+def figures(docs: DataFrame, weights: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """``doc_id`` and the figures that ``measures`` gives, of every row of ``docs`` (doc_id, text); no text moves.
+
+    A text becomes a row for each piece of its line, short enough that one expression is the sum of a piece's
+    weights: generated code hashes and weighs every character n-gram. The sums of a text are added up in its task,
+    by a row number, and only one row of figures a text moves.
+    """
+
+    (w,) = free_names(docs, "_weights")
+
+    def cut(tokens: Column, pairs: Column) -> list[Column]:
+        def of(line: Column) -> Column:
+            spans = F.greatest(F.shiftright(F.octet_length(line), 2) - F.lit(SPAN - 1), F.lit(0))
+            n = F.size(tokens) + F.size(pairs) + spans
+            return F.struct(n.alias("n"), pieces(line, TERMS).alias("pieces"))
+
+        own = let(F.col(w), lambda weights: word_weight(tokens, pairs, weights, buckets))
+        return [own.alias("own"), let(bordered(tokens), of).alias("line")]
+
+    m = F.col("m")
+    rows = docs.withColumn(w, weights.scalar())
+    rows = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", counted(F.col("text"), cut).alias("m"))
+    rows = rows.select(
+        "row",
+        "doc_id",
+        *[m[c].alias(c) for c in (*COUNTS, "own")],
+        m["line"]["n"].alias("n"),
+        F.explode_outer(m["line"]["pieces"]).alias("piece"),
+    ).withColumn(w, weights.scalar())
+    total = piece_weight(F.col("piece"), F.col(w), buckets)
+    sums = rows.groupBy("row", "doc_id", *COUNTS, "own", "n").agg(F.sum(total).alias("spans"))
+    llr = F.coalesce((F.col("own") + F.col("spans")) / F.nullif(F.col("n"), F.lit(0)), F.lit(0.0))
+    return sums.select("doc_id", *COUNTS, llr.alias("llr"))
+
+
 def failed(m) -> Column:
     """Whether the base rules reject a text, from its figures ``m``."""
     return (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEATED_PERCENT * m["n_words"])
@@ -312,7 +392,7 @@ def judge(
     ``corpus`` (doc_id, text) gives the raw multinomials; ``threshold`` stands in for
     the learned cut. ``names`` renames result columns; ``with_text=False`` leaves ``text`` out of the result.
     Where ``docs`` is ``corpus`` itself each text is scored once: the rows are stored with their scores
-    and the cut comes from those.
+    and the cut comes from those. Where only ``doc_id`` passes through, ``figures`` measures the texts.
     NULL and empty texts have no words and fail the base rules. A NULL ``doc_id`` is judged
     like any other but never trusted; repeated rows are counted and judged each. ``llr`` is
     0 for a text without words. Other columns of ``docs`` pass through untouched.
@@ -321,9 +401,12 @@ def judge(
     w, m = free_names(docs, "_weights", "_measures")
     # a scalar subquery: one array of fixed size for all rows, no join
     weights = stored(bucket_weights(corpus, labels, buckets), "ngram-weights")
-    df = docs.withColumn(w, weights.scalar())
-    df = df.withColumn(m, measures(F.col("text"), F.col(w), buckets)).drop(w)
-    df = df.withColumns({names[n]: F.col(m)[n] for n in (*COUNTS, "llr")}).drop(m)
+    if not with_text and sorted(docs.columns) == ["doc_id", "text"]:
+        df = figures(docs, weights, buckets).withColumnsRenamed({n: names[n] for n in (*COUNTS, "llr")})
+    else:
+        df = docs.withColumn(w, weights.scalar())
+        df = df.withColumn(m, measures(F.col("text"), F.col(w), buckets)).drop(w)
+        df = df.withColumns({names[n]: F.col(m)[n] for n in (*COUNTS, "llr")}).drop(m)
     df = df.withColumn(names["base_failed"], failed({n: F.col(c) for n, c in names.items()}))
     df = df if with_text else df.drop("text")
     if threshold is not None:

@@ -1,3 +1,6 @@
+import contextlib
+import io
+import math
 import random
 import re
 from collections import Counter
@@ -106,3 +109,49 @@ def test_cut_follows_its_rule(spark, texts):
             best, want = gain, (low + high) / 2
     got = Q.best_cut(docs, taught, weights).first()["cut"]
     assert got == want or abs(got - want) < 1e-9
+
+
+def test_cut_reads_every_label(spark):
+    # 3,000 texts of each side: the scores of all of them decide, none stands for others
+    rng = random.Random(3)
+    marks = [(rng.random() + 0.2 * (i % 2), i % 2 == 1) for i in range(6000)]
+    best, want, gain = 0, float("-inf"), 0
+    ordered = sorted(marks)
+    for (low, good), (high, _) in zip(ordered, ordered[1:]):
+        gain += -1 if good else 1
+        if gain > best:
+            best, want = gain, (low + high) / 2
+    got = Q.lowest_error_cut(spark.createDataFrame(marks, "llr double, good boolean")).first()["cut"]
+    assert best > 0 and got == want
+
+
+def test_figures_without_text_are_the_same(spark, texts):
+    line = "one two three four five six seven eight nine ten eleven twelve"
+    values = [*MIXED, LONG, None, "", "a", "ab cd", "é𝄞 ✓", line, line, *[line[:k] for k in range(14, 34)]]
+    docs = texts(values, ids=[None, 1, 1, *range(3, len(values))]).select("doc_id", "text")
+    taught = labels(spark, [(i, i % 2, 0) for i in range(8, len(values))])
+
+    def rows(df):
+        return sorted(df.select("doc_id", *Q.COUNTS, "llr", "kept").collect(), key=str)
+
+    whole, thin = rows(Q.judge(docs, docs, taught)), rows(Q.judge(docs, docs, taught, with_text=False))
+    assert len(whole) == len(thin) == len(values) and any(r["llr"] != 0 for r in thin)
+    for a, b in zip(whole, thin):
+        assert [a[c] for c in ("doc_id", *Q.COUNTS, "kept")] == [b[c] for c in ("doc_id", *Q.COUNTS, "kept")]
+        assert math.isclose(a["llr"], b["llr"], rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_character_grams_are_weighed_in_short_generated_code(spark, texts):
+    docs = texts(["some words that are enough for the least number of words here"]).select("doc_id", "text")
+    weights = Q.stored(Q.bucket_weights(docs, labels(spark, [(0, 1, 0)])), "ngram-weights")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        shown = io.StringIO()
+        with contextlib.redirect_stdout(shown):
+            Q.figures(docs, weights).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert "hash(substring(piece" in shown.getvalue()
+    # the virtual machine does not compile a method beyond 8,000 bytes
+    assert max(map(int, re.findall(r"maxMethodCodeSize:(\d+)", shown.getvalue()))) < 8000
